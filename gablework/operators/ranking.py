@@ -55,12 +55,16 @@ def _with_range(df: DataFrame, bounds: Column, value: str, width: int) -> DataFr
     step = 1
     while step * 2 <= width:
         step *= 2
-    df = df.withColumn("_bounds", bounds).withColumn("_range", F.lit(0))
+    steps = [bounds.alias("_bounds")]
+    at = "0"
     while step:
-        below = F.coalesce(F.get("_bounds", F.col("_range") + (step - 1)) < F.col(value), F.lit(False))
-        df = df.withColumn("_range", F.col("_range") + F.when(below, step).otherwise(0))
-        step //= 2
-    return df.drop("_bounds")
+        below = f"coalesce(get(_bounds, {at} + {step - 1}) < `{value}`, false)"
+        name = "_range" if step == 1 else f"_at{step}"
+        steps.append(F.expr(f"{at} + if({below}, {step}, 0) AS {name}"))
+        at, step = name, step // 2
+    # Later columns of one select may use earlier ones; Spark turns the list
+    # into stacked projections.
+    return df.select("*", *steps).select(*df.columns, "_range")
 
 
 def cumulate(
