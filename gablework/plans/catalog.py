@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gablework.plans import data_queries  # noqa: F401  (registers on import)
+from gablework.plans import data_queries, model_queries, report_queries  # noqa: F401  (register on import)
 from gablework.plans.registry import ORACLES, QUERIES, Query
 
 

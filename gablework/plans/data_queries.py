@@ -527,10 +527,10 @@ register(
 register("p7_label_codes", lambda spark, d: P.fit_labels(listings(spark, d), "district"), CODES_SQL, "SELECT label, code FROM codes")
 register(
     "p7_label_codes_many",
-    lambda spark, d: P.fit_labels(table(spark, d, "part"), "p_name"),
+    lambda spark, d: P.fit_labels(table(spark, d, "customer"), "c_name"),
     None,
-    """SELECT p_name AS label, CAST(row_number() OVER (ORDER BY p_name) - 1 AS INT) AS code
-  FROM (SELECT DISTINCT p_name FROM part)""",
+    """SELECT c_name AS label, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INT) AS code
+  FROM (SELECT DISTINCT c_name FROM customer)""",
 )
 register(
     "p8_label_apply_strict",

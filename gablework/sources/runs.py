@@ -19,12 +19,14 @@ RUN_STATUS = {1: "RUNNING", 2: "SCHEDULED", 3: "FINISHED", 4: "FAILED", 5: "KILL
 def _located(spark: SparkSession, path: str, layout: str, whole: bool = False) -> DataFrame:
     text = spark.read.option("wholetext", whole).option("recursiveFileLookup", True).text(path)
     file = F.col("_metadata.file_path")
-    return text.select(
-        "value",
-        F.regexp_extract(file, layout, 1).alias("run_id"),
-        F.regexp_extract(file, layout, 2).alias("kind"),
-        F.regexp_extract(file, layout, 3).alias("key"),
-    ).where("run_id <> ''")
+
+    def part(i: int) -> Column:
+        # The path is URL-encoded; a plus sign in it stands for itself.
+        return F.url_decode(F.replace(F.regexp_extract(file, layout, i), F.lit("+"), F.lit("%2B")))
+
+    return text.select("value", part(1).alias("run_id"), part(2).alias("kind"), part(3).alias("key")).where(
+        "run_id <> ''"
+    )
 
 
 def read_metrics(spark: SparkSession, path: str, layout: str = FOLDER_LAYOUT) -> DataFrame:
