@@ -48,6 +48,20 @@ def fetched(one_row: DataFrame) -> dict[str, Column]:
     return {name: F.lit(rows[0][name] if rows else None).cast(kind) for name, kind in types.items()}
 
 
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def broadcast_if_small(df: DataFrame, *inputs: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if the files it is joined from are small.
+
+    For lookups on unique keys, whose size is that of the inputs; Catalyst
+    multiplies the sizes of joined inputs and so takes such a lookup for huge.
+    Above the limit there is no hint and the join is shuffled.
+    """
+    size = sum(int(str(i._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for i in inputs)
+    return F.broadcast(df) if size <= limit else df
+
+
 def share(flag: Column) -> Column:
     """Fraction of rows for which the flag holds; NULL flags count as rows."""
     return F.avg(F.when(flag, 1.0).otherwise(0.0))

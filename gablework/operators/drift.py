@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from gablework.functions.columns import num, ratio, tally, tidy, to_long
 from gablework.functions.stats import ks_p
@@ -128,26 +129,19 @@ def performance_drift(df: DataFrame, period: Column, actual: str, predicted: str
         F.var_pop(actual).alias("var"),
         F.avg(actual).alias("mean"),
     )
-    # Pooled variance over all periods: within plus between.
-    total = sums.agg(
-        F.sum("n").alias("n"),
-        F.sum("sse").alias("sse"),
-        F.sum(F.col("n") * F.col("var")).alias("within"),
-        F.sum(F.col("n") * F.col("mean")).alias("sum"),
-        F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("squares"),
-    ).select(
-        (
-            1.0
-            - ratio(
-                F.col("sse"),
-                F.col("within") + F.col("squares") - ratio(F.col("sum") * F.col("sum"), F.col("n")),
-            )
-        ).alias("r2")
-    )
-    baseline = total.select("r2").scalar()
+    # Pooled variance over all periods, within plus between.  The window runs
+    # over one row per period.
+    n, mean = F.col("n"), F.col("mean")
+
+    def over_all(value: Column) -> Column:
+        return F.sum(value).over(Window.partitionBy())
+
+    between = over_all(n * mean * mean) - ratio(over_all(n * mean) * over_all(n * mean), over_all(n))
+    baseline = 1.0 - ratio(over_all(F.col("sse")), over_all(n * F.col("var")) + between)
     return (
-        sums.select("period", "n", (1.0 - ratio(F.col("sse"), F.col("n") * F.col("var"))).alias("r2"))
-        .withColumn("baseline_r2", baseline)
+        sums.select(
+            "period", "n", (1.0 - ratio(F.col("sse"), n * F.col("var"))).alias("r2"), baseline.alias("baseline_r2")
+        )
         .withColumn("drop", ratio(F.col("baseline_r2") - F.col("r2"), F.col("baseline_r2")))
         .withColumn("drifted", F.coalesce(F.col("drop") > limit, F.lit(False)))
     )

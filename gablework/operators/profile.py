@@ -90,23 +90,38 @@ def target_summary(df: DataFrame, target: str) -> DataFrame:
     )
 
 
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``column_a, column_b, correlation`` for a list of column pairs.
+
+    Each row is laid out once per pair and aggregated by pair before anything
+    is shuffled.  One aggregation with a buffer for every pair would be too
+    wide for compiled code.
+    """
+    used = list(dict.fromkeys(c for pair in pairs for c in pair))
+    values = df.select(*[tidy(c).alias(c) for c in used])
+    listed = ", ".join(f"'{a}', '{b}', `{a}`, `{b}`" for a, b in pairs)
+    laid = values.select(F.expr(f"stack({len(pairs)}, {listed}) AS (column_a, column_b, _a, _b)"))
+    return laid.groupBy("column_a", "column_b").agg(F.corr("_a", "_b").alias("correlation"))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlations of all pairs in a single aggregation, long."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[F.corr(tidy(a), tidy(b)).alias(f"{a}|{b}") for a, b in pairs])
-    rows = []
-    for a, b in pairs:
-        value = F.col(f"`{a}|{b}`").alias("correlation")
-        rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), value))
-    return wide.select(F.inline(F.array(*rows)))
+    """Pearson correlations of all pairs in one pass, long."""
+    half = _pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    both = F.array(
+        F.struct("column_a", "column_b", "correlation"),
+        F.struct(
+            F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), F.col("correlation")
+        ),
+    )
+    one = F.slice(both, 1, 1)
+    return half.select(F.inline(F.when(F.col("column_a") == F.col("column_b"), one).otherwise(both)))
 
 
 def correlation_ranking(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """Correlation with the target, ranked by size, with strength and direction."""
-    wide = df.agg(*[F.corr(tidy(c), tidy(target)).alias(f"corr_{c}") for c in columns])
-    long = to_long(wide, list(columns), {"correlation": "corr_{}"})
+    long = _pair_correlations(df, [(c, target) for c in columns]).select(
+        F.col("column_a").alias("column"), "correlation"
+    )
     size = F.abs("correlation")
     # One row per column named, so the window is as short as the call.
     place = Window.orderBy(size.desc_nulls_last(), "column")

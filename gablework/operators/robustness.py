@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from gablework.functions.columns import num, ratio, scalars, tidy
 from gablework.functions.metrics import r2
@@ -14,24 +15,30 @@ from gablework.roles import NOISE_LEVELS
 BASE = ("area", "bedrooms", "bathrooms", "age_years", "has_garage")
 
 
-def digest_normals(row_id: str, salt: Column, count: int) -> list[Column]:
+def add_digest_normals(df: DataFrame, row_id: str, salt: Column, count: int, prefix: str = "_z") -> DataFrame:
     """Standard normal draws fixed by the row id: the same on every run and engine.
 
     One md5 holds four 32-bit uniforms and gives four draws by Box-Muller.
+    Digests, uniforms and draws are columns of their own, each computed once.
     """
-    draws: list[Column] = []
-    for block in range((count + 3) // 4):
-        hexes = F.md5(F.concat_ws("|", row_id, salt.cast("string"), F.lit(str(block))))
-
-        def uniform(i: int) -> Column:
-            word = F.conv(F.substring(hexes, 1 + 8 * i, 8), 16, 10).cast("double")
-            return (word + 1.0) / num(2**32 + 1)
-
-        for pair in (0, 2):
-            radius = F.sqrt(F.log(uniform(pair)) * -2.0)
-            angle = uniform(pair + 1) * num(6.283185307179586)
-            draws += [radius * F.cos(angle), radius * F.sin(angle)]
-    return draws[:count]
+    blocks = range((count + 3) // 4)
+    hexes = {f"_md5_{b}": F.md5(F.concat_ws("|", row_id, salt.cast("string"), F.lit(str(b)))) for b in blocks}
+    words = {
+        f"_u{4 * b + i}": (F.conv(F.substring(f"_md5_{b}", 1 + 8 * i, 8), 16, 10).cast("double") + 1.0) / num(2**32 + 1)
+        for b in blocks
+        for i in range(4)
+    }
+    polar = {}
+    for pair in range(0, 4 * len(blocks), 2):
+        polar[f"_r{pair}"] = F.sqrt(F.log(f"_u{pair}") * -2.0)
+        polar[f"_a{pair}"] = F.col(f"_u{pair + 1}") * num(6.283185307179586)
+    draws = {}
+    for i in range(count):
+        pair = i - i % 2
+        turn = F.cos(f"_a{pair}") if i % 2 == 0 else F.sin(f"_a{pair}")
+        draws[f"{prefix}{i}"] = F.col(f"_r{pair}") * turn
+    out = df.withColumns(hexes).withColumns(words).withColumns(polar).withColumns(draws)
+    return out.drop(*hexes, *words, *polar)
 
 
 def with_noise(
@@ -49,12 +56,11 @@ def with_noise(
     spread = scalars(df.agg(*[F.stddev_samp(tidy(c)).alias(c) for c in columns]))
     listed = df.withColumn("noise_level", F.explode(F.array(num(0), *[num(v) for v in levels])))
     if row_id is not None:
-        draws = digest_normals(row_id, F.round(F.col("noise_level") * 1000).cast("int"), len(columns))
+        listed = add_digest_normals(listed, row_id, F.round(F.col("noise_level") * 1000).cast("int"), len(columns))
     else:
-        draws = [F.randn(seed + i) for i in range(len(columns))]
-    return listed.withColumns(
-        {c: F.col(c) + draws[i] * F.col("noise_level") * spread[c] for i, c in enumerate(columns)}
-    )
+        listed = listed.withColumns({f"_z{i}": F.randn(seed + i) for i in range(len(columns))})
+    noisy = {c: F.col(c) + F.col(f"_z{i}") * F.col("noise_level") * spread[c] for i, c in enumerate(columns)}
+    return listed.withColumns(noisy).drop(*[f"_z{i}" for i in range(len(columns))])
 
 
 def noise_effect(
@@ -72,13 +78,17 @@ def noise_effect(
     """
     scored = score(with_noise(df, columns, levels, row_id))
     by_level = scored.groupBy("noise_level").agg(r2(actual, predicted).alias("r2"))
-    # One row per level.
-    base = by_level.agg(F.max(F.when(F.col("noise_level") == 0, F.col("r2"))).alias("b")).select("b").scalar()
-    return by_level.withColumn("base_r2", base).select(
-        "noise_level",
-        "r2",
-        (ratio(F.col("base_r2") - F.col("r2"), F.col("base_r2")) * 100.0).alias("drop_percent"),
-    ).where("noise_level > 0")
+    # One row per level; a window over them keeps the scoring to one pass.
+    clean = F.max(F.when(F.col("noise_level") == 0, F.col("r2"))).over(Window.partitionBy())
+    return (
+        by_level.withColumn("base_r2", clean)
+        .select(
+            "noise_level",
+            "r2",
+            (ratio(F.col("base_r2") - F.col("r2"), F.col("base_r2")) * 100.0).alias("drop_percent"),
+        )
+        .where("noise_level > 0")
+    )
 
 
 def robustness_score(effect: DataFrame) -> DataFrame:

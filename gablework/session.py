@@ -16,6 +16,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of code; beyond it the
+    # row-wise operators with their small compiled projections are faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -62,6 +65,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan over all cores when it comes in fewer pieces than that.
+
+    Meant for a file or two on a wide machine.  A large input has more pieces
+    than there are cores and is left as it lies, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared scratch area and read it back.
 
