@@ -22,6 +22,9 @@ REQUIRED_CONF = {
 }
 
 
+_LOCAL_SCRATCH: dict[str, str | None] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Put the runtime settings of :data:`REQUIRED_CONF` on a session."""
     for key, value in REQUIRED_CONF.items():
@@ -55,8 +58,10 @@ def scratch_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="gablework-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        # The setting is fixed once a session runs, so the choice is kept here.
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_SCRATCH.setdefault(app, None) or tempfile.mkdtemp(prefix="gablework-")
+        _LOCAL_SCRATCH[app] = root
     return root.rstrip("/")
 
 
