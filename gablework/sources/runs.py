@@ -16,8 +16,8 @@ PARTITION_LAYOUT = r"/run_id=([^/]+)/kind=([^/]+)/key=([^/]+)/[^/]+$"
 RUN_STATUS = {1: "RUNNING", 2: "SCHEDULED", 3: "FINISHED", 4: "FAILED", 5: "KILLED"}
 
 
-def _located(spark: SparkSession, path: str, layout: str, whole: bool = False) -> DataFrame:
-    text = spark.read.option("wholetext", whole).option("recursiveFileLookup", True).text(path)
+def _located(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    text = spark.read.text(path, recursiveFileLookup=True)
     file = F.col("_metadata.file_path")
 
     def part(i: int) -> Column:
@@ -52,12 +52,7 @@ def _field(name: str) -> Column:
 
 def read_run_info(spark: SparkSession, path: str) -> DataFrame:
     """Name, times and status of each run from its description file."""
-    docs = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "meta.yaml")
-        .text(path)
-    )
+    docs = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="meta.yaml")
     status = F.try_element_at(
         F.create_map(*[F.lit(x) for pair in RUN_STATUS.items() for x in pair]), _field("status").try_cast("int")
     )
