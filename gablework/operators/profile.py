@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from gablework.functions.columns import num, ratio, scalar, scalars, tally, tidy, to_long
+from gablework.functions.columns import num, ratio, scalar, scalars, tally, tidy
 from gablework.functions.stats import normal_quantile
 from gablework.operators.ranking import (
     cumulate,
@@ -24,9 +24,14 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Two passes, one for the moments and one for the exact quartiles; pass a
     staged frame when the input is a join.
     """
-    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    wide = df.agg(*[fn(tidy(c)).alias(f"{s}_{c}") for c in columns for s, fn in stats.items()])
-    moments = to_long(wide, list(columns), {s: s + "_{}" for s in stats})
+    values = df.select(*[tidy(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    moments = values.groupBy("column").agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
     cuts = quantiles(df, columns, [0.25, 0.5, 0.75]).drop("n")
     # Both sides have one row per column named.
     return moments.join(F.broadcast(cuts), "column", "left")
@@ -195,11 +200,8 @@ def category_listing(df: DataFrame, column: str) -> DataFrame:
 
 
 def mean_and_spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    wide = df.agg(
-        *[F.avg(tidy(c)).alias(f"mean_{c}") for c in columns],
-        *[F.stddev_samp(tidy(c)).alias(f"std_{c}") for c in columns],
-    )
-    return to_long(wide, list(columns), {"mean": "mean_{}", "std": "std_{}"})
+    values = df.select(*[tidy(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    return values.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
 
 
 def head(df: DataFrame, order: Sequence[Column | str], n: int = 5) -> DataFrame:
