@@ -60,8 +60,8 @@ def test_log_lines(spark, tmp_path):
 
 @pytest.fixture
 def run_folder(tmp_path):
-    run = "e917da925dd94860bc0a2230bd33898f"
-    base = tmp_path / "125285281352320318" / run
+    run = "0123456789abcdef0123456789abcdef"
+    base = tmp_path / "400000000000000001" / run
     (base / "metrics").mkdir(parents=True)
     (base / "params").mkdir()
     (base / "metrics" / "test_rmse").write_text("1752419068000 30881.87 0\n1752419068000 30881.87 0\n")
