@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gablework.llm import chat, line_dedup, quality_rules
+from gablework.llm import chat, line_dedup, packing, pieces, quality_rules, ranked_bytes
 from gablework.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,21 +20,47 @@ def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/conversations.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
+
+
+def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(_documents(spark, sf_dir), _vocabulary(WORDS))
+
+
 def op3_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.render(_conversations(spark, sf_dir))
 
 
+def op4_distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_documents(spark, sf_dir), _vocabulary(PIECES))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_documents(spark, sf_dir))
 
 
+def op9_ranked_byte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_bytes.report(_documents(spark, sf_dir), _vocabulary(WORDS))
+
+
 def op10_window_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_documents(spark, sf_dir))
 
 
+#: Rows of whole texts handed to Python at once: very long texts must fit.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
+
+
 def _configured(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        configure(spark).conf.set(BATCH_KEY, BATCH_ROWS)
+        return query(spark, sf_dir)
 
     return run
 
@@ -42,8 +68,11 @@ def _configured(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     q.__name__: _configured(q)
     for q in (
+        op2_hierarchical_packing,
         op3_snapshot_collapse,
+        op4_distinct_chunk_pieces,
         op6_quality_rules,
+        op9_ranked_byte_ids,
         op10_window_line_dedup,
     )
 }

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gablework.session import stage
+from gablework.session import scratch_path, stage
 
 #: White space of the word contract: space, and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
@@ -42,6 +42,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def staged_small(df: DataFrame, label: str) -> DataFrame:
+    """As ``stage``, in the densest common compression: for tables of token ids."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def running_sums(df: DataFrame, order: Sequence[str], **sums: str) -> DataFrame:
     """For each row the sum of a column over all rows before it, in one fixed order.
 
