@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gablework.llm import chat, line_dedup, packing, pieces, quality_rules, ranked_bytes
+from gablework.llm import chat, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes
 from gablework.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_documents(spark, sf_dir))
 
 
+def op7_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op8_layered_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graphs.classes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_ranked_byte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_bytes.report(_documents(spark, sf_dir), _vocabulary(WORDS))
 
@@ -72,6 +80,8 @@ QUERIES: dict[str, Query] = {
         op3_snapshot_collapse,
         op4_distinct_chunk_pieces,
         op6_quality_rules,
+        op7_weighted_minhash,
+        op8_layered_graphs,
         op9_ranked_byte_ids,
         op10_window_line_dedup,
     )
