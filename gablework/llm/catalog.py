@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gablework.llm import chat, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes
-from gablework.session import configure
+import corpus_pipeline
+from gablework.llm import chat, factors, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes, toxicity
+from gablework.llm.common import prepared, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,21 +17,24 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/conversations.parquet")
 
 
-def _vocabulary(name: str) -> str:
-    import public_tokenizers
+WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 
-    return public_tokenizers.path(name)
 
-
-WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
+def op1_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "n_chars")
+    return factors.report(docs, _labels(spark, sf_dir))
 
 
 def op2_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.report(_documents(spark, sf_dir), _vocabulary(WORDS))
+    return packing.report(_documents(spark, sf_dir), vocabulary(WORDS))
 
 
 def op3_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +42,12 @@ def op3_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_distinct_chunk_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.report(_documents(spark, sf_dir), _vocabulary(PIECES))
+    return pieces.report(_documents(spark, sf_dir), vocabulary(PIECES))
+
+
+def op5_clause_grammar_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return toxicity.report_scores(docs, _labels(spark, sf_dir))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,21 +63,20 @@ def op8_layered_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ranked_byte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranked_bytes.report(_documents(spark, sf_dir), _vocabulary(WORDS))
+    return ranked_bytes.report(_documents(spark, sf_dir), vocabulary(WORDS))
 
 
 def op10_window_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_documents(spark, sf_dir))
 
 
-#: Rows of whole texts handed to Python at once: very long texts must fit.
-BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def _configured(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark).conf.set(BATCH_KEY, BATCH_ROWS)
-        return query(spark, sf_dir)
+        return query(prepared(spark), sf_dir)
 
     return run
 
@@ -76,14 +84,17 @@ def _configured(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     q.__name__: _configured(q)
     for q in (
+        op1_factorisation_quality,
         op2_hierarchical_packing,
         op3_snapshot_collapse,
         op4_distinct_chunk_pieces,
+        op5_clause_grammar_toxicity,
         op6_quality_rules,
         op7_weighted_minhash,
         op8_layered_graphs,
         op9_ranked_byte_ids,
         op10_window_line_dedup,
+        pipeline,
     )
 }
 
@@ -92,3 +103,5 @@ ORACLES: dict[str, str] = {
     "op6_quality_rules": quality_rules.report_sql(),
     "op10_window_line_dedup": line_dedup.REPORT_SQL,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -6,13 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gablework.session import scratch_path, stage
+from gablework.session import configure, scratch_path, stage
 
 #: White space of the word contract: space, and tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of whole texts handed to Python at once: very long texts must fit.
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session settings that the operators here rely on."""
+    configure(spark).conf.set(BATCH_KEY, BATCH_ROWS)
+    return spark
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
