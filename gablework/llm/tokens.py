@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ class WordEncoder:
     """
 
     def __init__(self, vocab_path: str, remembered: int = REMEMBERED):
+        # One thread a task: the cores are Spark's to share out.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocab_path)
@@ -48,26 +51,18 @@ class WordEncoder:
                 self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            new = [w for w in set(words) if w not in self.known]
+        """Ids of each text; the new words of some texts are learned together."""
+        step = 100
+        for i in range(0, len(texts), step):
+            listed = [t.replace("\n", " ").split(" ") for t in texts[i : i + step]]
+            words = set().union(*listed)
+            new = words.difference(self.known)
             if len(self.known) + len(new) > self.remembered:
-                self.known = {}
-                new = list(set(words))
+                self.known, new = {}, words
             if new:
-                self._learn(new)
-            yield b"".join(map(self.known.__getitem__, words))
-
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        """As calling it, but the new words of up to some hundred texts are learned together."""
-        step = 200
-        for i in range(0, len(texts), step):
-            group = texts[i : i + step]
-            words = set().union(*(t.replace("\n", " ").split(" ") for t in group))
-            new = [w for w in words if w not in self.known]
-            if len(self.known) + len(new) <= self.remembered:
-                self._learn(new)
-            yield from self(group)
+                self._learn(list(new))
+            for words in listed:
+                yield b"".join(map(self.known.__getitem__, words))
 
 
 def encode(docs: DataFrame, vocab_path: str, end_id: int, text: str = "text") -> DataFrame:
@@ -84,7 +79,7 @@ def encode(docs: DataFrame, vocab_path: str, end_id: int, text: str = "text") ->
         encoder = None
         for batch in batches:
             encoder = encoder or WordEncoder(vocab_path)
-            ids = [x + end for x in encoder.batch(batch.column(1).to_pylist())]
+            ids = [x + end for x in encoder(batch.column(1).to_pylist())]
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
 
