@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from gablework.llm.common import components, staged_small, text_or_empty, words_of
+from gablework.llm.common import components, staged_small, text_or_empty
 from gablework.session import stage
 
 #: Words of a shingle, similarity of a link, and the sampling: bands of rows.
@@ -17,8 +19,8 @@ SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 3
 CELLS = 1 << 18
 #: A shingle in at most one of so many documents has full weight.
 RARE = 32
-#: Buckets up to this size are compared pair by pair where not yet linked.
-SMALL = 16
+#: Members of a bucket compared with as many others at once.
+BLOCK = 512
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -37,29 +39,79 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, hash, times) of the distinct shingles of each row of word hashes, by row and hash.
-
-    A row of fewer words than a shingle has one shingle of all its words; a row without words has none.
-    """
-    offsets = lists.offsets.to_numpy()
-    words = lists.values.to_numpy().view(np.uint64)
-    sizes = np.diff(offsets)
-    counts = np.where(sizes >= SHINGLE, sizes - SHINGLE + 1, np.minimum(sizes, 1))
-    row = np.repeat(np.arange(len(sizes), dtype=np.uint16 if len(sizes) < 65536 else np.int64), counts)
-    first = np.repeat(offsets[:-1], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    last = np.repeat(offsets[1:], counts) - 1
-    code = np.zeros(len(first), dtype=np.uint64)
-    for i in range(SHINGLE):
-        at = first + i
-        word = words[np.minimum(at, last)] if len(words) else code
-        code = np.where(at <= last, _mix(code * _GOLD + word), code)
-    order = np.lexsort((code, row))
-    row, code = row[order], code[order]
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
-    at = np.flatnonzero(new)
-    return row[at].astype(np.int64), code[at], np.diff(np.append(at, len(row)))
+#: An odd base of the bytes' polynomial and its inverse, modulo 2**64.
+_BASE = 0x9E3779B185EBCA87
+_INVERSE = pow(_BASE, -1, 2**64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Shingler:
+    """Distinct shingles of texts, from the bytes of many texts at once."""
+
+    #: Bytes of texts taken together.
+    CHUNK = 1 << 20
+
+    def __init__(self):
+        self.up = self.down = np.ones(0, dtype=np.uint64)
+
+    def _word_hashes(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and hash of each run of bytes that are no white space."""
+        n = len(data)
+        if n > len(self.up):
+            self.up, self.down = _powers(_BASE, n), _powers(_INVERSE, n)
+        inside = np.zeros(n + 2, dtype=np.int8)
+        inside[1:-1] = ~((data == 32) | ((data >= 9) & (data <= 13)))
+        edge = np.diff(inside)
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n], dtype=np.uint64, out=sums[1:])
+        return start, _mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For parts of the rows: first row, rows, and (row in the part, hash, times) by row and hash.
+
+        Words are compared in lower case.  A row of fewer words than a shingle has
+        one shingle of all its words; a row without words has none.
+        """
+        low = pc.utf8_lower(texts.cast(pa.large_string()))
+        offsets = np.frombuffer(low.buffers()[1], dtype=np.int64)[low.offset : low.offset + len(low) + 1]
+        content = low.buffers()[2]
+        whole = np.frombuffer(content, dtype=np.uint8) if content is not None else np.zeros(0, dtype=np.uint8)
+        i = 0
+        while i < len(low):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + self.CHUNK, side="right")) - 1)
+            j = min(j, i + 60_000, len(low))
+            yield i, j - i, *self._part(whole, offsets[i : j + 1])
+            i = j
+
+    def _part(self, whole: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # A blank between texts, so that no word runs on into the next one.
+        sizes = np.diff(offsets)
+        data = np.full(int(sizes.sum()) + len(sizes), 32, dtype=np.uint8)
+        first_byte = np.concatenate([[0], np.cumsum(sizes + 1)])
+        data[np.arange(int(sizes.sum())) + np.repeat(np.arange(len(sizes)), sizes)] = whole[offsets[0] : offsets[-1]]
+        start, words = self._word_hashes(data)
+        bounds = np.searchsorted(start, first_byte)
+        n_words = np.diff(bounds)
+        counts = np.where(n_words >= SHINGLE, n_words - SHINGLE + 1, np.minimum(n_words, 1))
+        row = np.repeat(np.arange(len(sizes), dtype=np.uint16), counts)
+        first = np.repeat(bounds[:-1], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        last = np.repeat(bounds[1:], counts) - 1
+        code = np.zeros(len(first), dtype=np.uint64)
+        for i in range(SHINGLE):
+            at = first + i
+            code = np.where(at <= last, _mix(code * _GOLD + words[np.minimum(at, last)]), code)
+        order = np.lexsort((code, row))
+        row, code = row[order], code[order]
+        new = np.ones(len(row), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+        at = np.flatnonzero(new)
+        return row[at].astype(np.int64), code[at], np.diff(np.append(at, len(row)))
 
 
 def _cell(code: np.ndarray) -> np.ndarray:
@@ -77,10 +129,6 @@ class Weights:
         return times * self.idf[_cell(code)]
 
 
-def _hashed(docs: DataFrame, text: str):
-    return F.transform(words_of(F.lower(text_or_empty(text))), lambda w: F.xxhash64(w))
-
-
 def corpus_weights(docs: DataFrame, text: str = "text") -> Weights:
     """Document counts of all shingles, in a table of fixed size.
 
@@ -92,10 +140,10 @@ def corpus_weights(docs: DataFrame, text: str = "text") -> Weights:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.int64)
-        documents = 0
+        documents, shingler = 0, Shingler()
         for batch in batches:
-            _, code, _ = shingles(batch.column(0))
-            counts += np.bincount(_cell(code), minlength=CELLS)
+            for _, _, _, code, _ in shingler(batch.column(0)):
+                counts += np.bincount(_cell(code), minlength=CELLS)
             documents += batch.num_rows
         cells = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
@@ -103,7 +151,7 @@ def corpus_weights(docs: DataFrame, text: str = "text") -> Weights:
             names=["cell", "n"],
         )
 
-    rows = docs.select(_hashed(docs, text).alias("words")).mapInArrow(task, "cell bigint, n bigint")
+    rows = docs.select(text_or_empty(text).alias("text")).mapInArrow(task, "cell bigint, n bigint")
     counted = stage(rows.groupBy("cell").agg(F.sum("n").alias("n")), "shingle-counts")
     total = counted.where("cell = -1").first()
     documents = total["n"] if total else 0
@@ -155,37 +203,58 @@ def signatures(docs: DataFrame, weights: Weights, text: str = "text") -> DataFra
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
         for batch in batches:
-            row, code, times = shingles(batch.column(3))
-            drawn = samples(row, code, weights(code, times), batch.num_rows, BANDS * ROWS)
-            keys = np.zeros((batch.num_rows, BANDS), dtype=np.uint64)
-            for i in range(BANDS * ROWS):
-                keys[:, i // ROWS] = _mix(keys[:, i // ROWS] * _GOLD + drawn[:, i])
-            has = np.bincount(row, minlength=batch.num_rows) > 0
-            bands = pa.array([k.tolist() if h else [] for k, h in zip(keys.view(np.int64), has)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], bands], names=["doc_id", "h1", "h2", "bands"])
+            bands = []
+            for _, rows, row, code, times in shingler(batch.column(3)):
+                drawn = samples(row, code, weights(code, times), rows, BANDS * ROWS)
+                keys = np.zeros((rows, BANDS), dtype=np.uint64)
+                for i in range(BANDS * ROWS):
+                    keys[:, i // ROWS] = _mix(keys[:, i // ROWS] * _GOLD + drawn[:, i])
+                has = np.bincount(row, minlength=rows) > 0
+                bands += [k.tolist() if h else [] for k, h in zip(keys.view(np.int64), has)]
+            found = pa.array(bands, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], names=["doc_id", "h1", "h2", "bands"])
 
     body = text_or_empty(text)
-    rows = docs.select("doc_id", F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"), _hashed(docs, text).alias("words"))
+    rows = docs.select("doc_id", F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"), body.alias("text"))
     return rows.mapInArrow(task, f"doc_id {kind}, h1 bigint, h2 bigint, bands array<bigint>")
 
 
-def weighted_jaccard(left: pa.ListArray, right: pa.ListArray, weights: Weights) -> np.ndarray:
-    """Sum of the lesser weights over sum of the greater ones, row by row."""
+def _occurrences(texts: pa.Array, weights: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, idf) of every shingle occurrence, numbered within its row.
+
+    Two rows share the lesser of their counts of a shingle, so the weighted
+    similarity of the rows is that of these sets.
+    """
+    out = []
+    for first, _, row, code, times in Shingler()(texts):
+        number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        each = np.repeat(code, times)
+        idf = weights.idf[_cell(each)]
+        out.append((np.repeat(row + first, times), np.where(number > 0, _mix(each + number.astype(np.uint64) * _GOLD), each), idf))
+    if not out:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0)
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+
+
+def _similar(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Whether the similarity reaches the limit by tf-idf or by plain tf weights, which stand last."""
+    score = np.divide(shared, total - shared, out=np.zeros_like(shared), where=total > shared)
+    return (score >= SIMILARITY - 1e-9).any(axis=-1)
+
+
+def weighted_jaccard(left: pa.Array, right: pa.Array, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Row by row the shared and the summed weights, by tf-idf and by tf."""
     n = len(left)
-    sides = []
-    for lists in (left, right):
-        row, code, times = shingles(lists)
-        sides.append((row, code, weights(code, times)))
-    row = np.concatenate([s[0] for s in sides])
-    code = np.concatenate([s[1] for s in sides])
-    weight = np.concatenate([s[2] for s in sides])
+    sides = [_occurrences(x, weights) for x in (left, right)]
+    row, code, idf = (np.concatenate([s[i] for s in sides]) for i in range(3))
     order = np.lexsort((code, row))
-    row, code, weight = row[order], code[order], weight[order]
+    row, code, idf = row[order], code[order], idf[order]
     same = np.flatnonzero((row[1:] == row[:-1]) & (code[1:] == code[:-1]))
-    shared = np.bincount(row[same], weights=np.minimum(weight[same], weight[same + 1]), minlength=n)
-    total = np.bincount(row, weights=weight, minlength=n)
-    return np.divide(shared, total - shared, out=np.zeros(n), where=total > shared)
+    shared = [np.bincount(row[same], weights=w[same], minlength=n) for w in (idf, np.ones(len(idf)))]
+    total = [np.bincount(row, weights=w, minlength=n) for w in (idf, np.ones(len(idf)))]
+    return np.stack(shared, axis=-1), np.stack(total, axis=-1)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
@@ -193,97 +262,114 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = weighted_jaccard(batch.column(2), batch.column(3), weights)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2]], names=["a", "b"]).filter(pa.array(score >= SIMILARITY - 1e-9))
-
-    hashed = F.transform(words_of(F.lower("text")), lambda w: F.xxhash64(w))
-    one = pairs.join(texts.withColumnRenamed("node", "a"), "a").withColumnRenamed("text", "text_a")
-    two = one.join(texts.withColumnRenamed("node", "b"), "b").withColumnRenamed("text", "text_b")
-    ready = two.select(
-        "a",
-        "b",
-        F.transform(words_of(F.lower("text_a")), lambda w: F.xxhash64(w)).alias("left"),
-        F.transform(words_of(F.lower("text_b")), lambda w: F.xxhash64(w)).alias("right"),
-    )
-    return ready.mapInArrow(task, "a bigint, b bigint")
+            good = _similar(*weighted_jaccard(batch.column(2), batch.column(3), weights))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2]], names=["a", "b"]).filter(pa.array(good))
+
+    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return two.select("a", "b", "text_a", "text_b").mapInArrow(task, "a bigint, b bigint")
+
+
+def _shared_weights(row: np.ndarray, code: np.ndarray, idf: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, rows, 2) sums of shared weights between all rows of a block pair, some columns at a time."""
+    out = np.zeros((rows, rows, 2))
+    _, column, counts = np.unique(code, return_inverse=True, return_counts=True)
+    common = counts[column] > 1
+    row, column, idf = row[common], column[common], idf[common]
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column, idf = row[order], column[order], idf[order]
+    width = 4096
+    for first in range(0, int(column.max(initial=-1)) + 1, width):
+        part = slice(*np.searchsorted(column, [first, first + width]))
+        table = np.zeros((rows, width), dtype=np.float32)
+        table[row[part], column[part] - first] = 1
+        weight = np.zeros(width, dtype=np.float32)
+        weight[column[part] - first] = idf[part]
+        out[:, :, 0] += (table * weight) @ table.T
+        out[:, :, 1] += table @ table.T
+    return out
+
 
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect what all the given edges connect; at most one less than the nodes."""
+    root: dict[int, int] = {}
+    kept = []
 
-def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Add to each member the component it belongs to so far."""
-    joined = members.join(found, "node", "left")
-    return joined.withColumn("component", F.coalesce("component", "node"))
+    def top(x: int) -> int:
+        root.setdefault(x, x)
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
 
+    for x, y in zip(a.tolist(), b.tolist()):
+        i, j = top(x), top(y)
+        if i != j:
+            root[max(i, j)] = min(i, j)
+            kept.append((x, y))
+    return kept
 
-def links(members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+
+def _across(open_members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """Links (a, b) between members of one bucket that are not yet connected, block against block.
+
+    ``open_members``: bucket, band, node, component, bands.  A bucket is cut into blocks
+    of BLOCK members by hash, and each pair of blocks is compared whole in one
+    call.  It returns a forest of the links, not the pairs.  Two members that
+    share several buckets are compared in the one of their first common band.
+    """
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("node").reset_index(drop=True)
+        lo, hi, band = int(part["lo"].iloc[0]), int(part["hi"].iloc[0]), int(part["band"].iloc[0])
+        component, block = part["component"].to_numpy(), part["block"].to_numpy()
+        keys = np.stack(part["bands"].to_numpy())
+        wanted = (component[:, None] != component[None, :]) & (block[:, None] == lo) & (block[None, :] == hi)
+        if lo == hi:
+            wanted &= np.tri(len(part), k=-1, dtype=bool)
+        for earlier in range(band):
+            wanted &= keys[:, earlier][:, None] != keys[:, earlier][None, :]
+        found = np.zeros((0, 2), dtype=np.int64)
+        if wanted.any():
+            row, code, idf = _occurrences(pa.array(part["text"], pa.large_string()), weights)
+            total = np.stack([np.bincount(row, weights=w, minlength=len(part)) for w in (idf, np.ones(len(idf)))], axis=-1)
+            shared = _shared_weights(row, code, idf, len(part))
+            a, b = np.nonzero(wanted & _similar(shared, total[:, None, :] + total[None, :, :]))
+            node = part["node"].to_numpy()
+            found = np.array(_forest(node[a], node[b]), dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")
+    placed = open_members.withColumn("block", block)
+    other = F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / BLOCK).cast("int") - 1))
+    paired = placed.withColumn("other", other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+    ready = paired.drop("other", "size").join(texts, "node")
+    return ready.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a bigint, b bigint")
+
+
+def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     """Connected components (node, component) over all similar pairs that share a bucket.
 
-    First each bucket's members are compared with its smallest node.  Then only
-    pairs of different components are open.  In buckets of up to SMALL members all
-    of them are compared.  In larger ones a growing number of leaders is
-    compared with every member of another component, until each component of the bucket
-    has had a leader; what remains are pairs of non-leaders from two components,
-    compared last.  So no pair in a bucket is left out unless its ends are linked.
+    ``members`` is (bucket, band, node), ``bands`` (node, bands).  First each bucket's
+    members are compared with its smallest node.  Where its other members are
+    then in several components, those are compared with each other, save pairs that
+    are connected already.  So no pair in a bucket is left out.
     """
-    first = members.groupBy("bucket").agg(F.min("node").alias("b"))
-    star = stage(members.join(stage(first, "centres"), "bucket").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    edges = stage(verified(star, texts, weights), "links")
+    centres = stage(members.groupBy("bucket").agg(F.min("node").alias("centre")), "centres")
+    spokes = stage(members.join(centres, "bucket").where("node <> centre"), "spokes")
+    star = spokes.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    edges = stage(verified(stage(star, "pairs"), texts, weights), "links")
     found = components(edges)
-    tested = star
-
-    def compare(pairs: DataFrame) -> bool:
-        """Verify new pairs, unite; whether there were any."""
-        nonlocal edges, found, tested
-        ordered = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        fresh = stage(ordered.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            return False
-        edges = stage(edges.unionByName(verified(fresh, texts, weights)), "links")
-        found = components(edges)
-        tested = stage(tested.unionByName(fresh), "tested")
-        return True
-
-    def open_buckets(rows: DataFrame) -> DataFrame:
-        """Members of buckets that still hold several components."""
-        labelled = stage(_labelled(rows, found), "members")
-        mixed = labelled.groupBy("bucket").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")
-        )
-        return stage(labelled.join(stage(mixed.where("least < most").drop("least", "most"), "open"), "bucket"), "members")
-
-    def across(left: DataFrame, right: DataFrame) -> DataFrame:
-        a = left.select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"))
-        b = right.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"))
-        return a.join(b, "bucket").where("of_a <> of_b").select("a", "b")
-
-    rows = open_buckets(members)
-    few = rows.where(F.col("size") <= SMALL)
-    compare(across(few, few))
-    many = rows.where(F.col("size") > SMALL).select("bucket", "node")
-    if many.isEmpty():
+    labelled = stage(spokes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("centre"), "spokes")
+    mixed = labelled.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")
+    )
+    mixed = stage(mixed.where("least < most").select("bucket", "size"), "open")
+    if mixed.isEmpty():
         return found
-    many = stage(many, "large")
-    led, slots = None, 8
-    while True:
-        rows = open_buckets(many).drop("size")
-        waiting = rows
-        if led is not None:
-            done = led.join(found, "node", "left").select("bucket", F.coalesce("component", "node").alias("component")).distinct()
-            waiting = rows.join(done, ["bucket", "component"], "left_anti")
-        waiting = stage(waiting, "waiting")
-        if waiting.isEmpty():
-            break
-        slot = F.pmod(F.xxhash64("bucket", "node"), F.lit(slots))
-        leaders = stage(
-            waiting.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "component")).alias("l")).select("bucket", "l.*"),
-            "leaders",
-        )
-        compare(across(rows, leaders))
-        chosen = leaders.select("bucket", "node")
-        led = chosen if led is None else stage(led.unionByName(chosen), "led")
-        slots *= 4
-    others = rows.join(led, ["bucket", "node"], "left_anti")
-    compare(across(others, others))
-    return found
+    rows = stage(labelled.join(mixed, "bucket").join(bands, "node"), "open")
+    more = stage(_across(rows, texts, weights), "links")
+    return found if more.isEmpty() else components(edges.unionByName(more))
 
 
 def _classified(docs: DataFrame, text: str) -> DataFrame:
@@ -295,16 +381,16 @@ def _classified(docs: DataFrame, text: str) -> DataFrame:
         signed.groupBy("h1", "h2").agg(F.coalesce(F.min(F.col("doc_id").cast("long")), F.col("h1")).alias("node"), F.first("bands").alias("bands")),
         "nodes",
     )
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("bucket"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", F.xxhash64("band", "key").alias("bucket"))
     shared = stage(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
     members = stage(keyed.join(shared, "bucket").distinct(), "members")
-    wanted = stage(members.select("node").distinct().join(nodes.select("node", "h1", "h2"), "node"), "wanted")
+    wanted = stage(members.select("node").distinct().join(nodes, "node"), "wanted")
     body = text_or_empty(text)
     rows = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"))
-    texts = staged_small(
-        rows.withColumn("node", own).join(wanted, ["node", "h1", "h2"]).groupBy("node").agg(F.max("text").alias("text")), "texts"
-    )
-    found = links(members, texts, weights)
+    # The texts wanted grow with the corpus: never a broadcast, also where they are few.
+    ids = wanted.select("node", "h1", "h2").hint("merge")
+    texts = staged_small(rows.withColumn("node", own).join(ids, ["node", "h1", "h2"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
+    found = links(members, wanted.select("node", "bands"), texts, weights)
     named = stage(nodes.join(found, "node", "left").select("h1", "h2", "node", F.coalesce("component", "node").alias("class_id")), "classes")
     return signed.drop("bands").join(named, ["h1", "h2"])
 
