@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+import types
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -30,6 +33,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held(key: str, make: Callable[[], Any]) -> Any:
+    """An object made once in a Python worker process; its later tasks find it again."""
+    store = sys.modules.setdefault("gablework_held", types.ModuleType("gablework_held")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

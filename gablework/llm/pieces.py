@@ -10,13 +10,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gablework.llm.common import text_or_empty
+from gablework.llm.common import held, text_or_empty
 
 SPACE_MARK = "▁"
 #: A run of marks with what follows it; text after a line break; a line break.
 CHUNK = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}\n]*|[^{SPACE_MARK}\n]+|\n")
-#: Chunks a task's table may hold; beyond it the table starts anew.
-TABLE = 300_000
+#: Chunks the table of a worker process may hold, some 200 MB; beyond it the table starts anew.
+TABLE = 1_000_000
 
 
 def check_model(processor) -> None:
@@ -64,15 +64,14 @@ def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     empty text has no ids.  One row per input row; ties and repeated rows are
     encoded alike, other columns are ignored, an empty table gives no rows.
 
-    The distinct-chunk table belongs to a task.  One table for all tasks would
+    The distinct-chunk table belongs to a worker process.  One table for all would
     have to be joined to every word, and so move every text; see the README.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None
         for batch in batches:
-            table = table or ChunkTable(model_path)
+            table = held(f"chunks {model_path}", lambda: ChunkTable(model_path))
             ids = pa.array(table(batch.column(1).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 

@@ -28,11 +28,10 @@ def frequency_ranks(encoded: DataFrame) -> np.ndarray:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
-                found = np.bincount(np.frombuffer(packed, dtype="<u4"))
-                if len(found) > len(counts):
-                    counts = np.pad(counts, (0, len(found) - len(counts)))
-                counts[: len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u4"))
+            if len(found) > len(counts):
+                counts = np.pad(counts, (0, len(found) - len(counts)))
+            counts[: len(found)] += found
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts[ids], pa.int64())], names=["id", "n"])
 
@@ -43,15 +42,24 @@ def frequency_ranks(encoded: DataFrame) -> np.ndarray:
     return rows.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(dtype=np.uint32)
 
 
-def pack(ids: np.ndarray, rank_of: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of one sequence; the last four are filled up with rank 0."""
-    ranks = np.zeros(-(-len(ids) // 4) * 4, dtype="<u4")
-    ranks[: len(ids)] = rank_of[ids]
-    widths = 1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    codes = (widths - 1).astype(np.uint8).reshape(-1, 4)
-    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    used = np.arange(4) < widths[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+def pack(sequences: list[bytes], rank_of: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Control and data bytes of each sequence of packed ids; its last four are filled up with rank 0."""
+    counts = np.array([len(x) // 4 for x in sequences], dtype=np.int64)
+    padded = -(-counts // 4) * 4
+    first = np.cumsum(padded) - padded
+    ranks = np.zeros(int(padded.sum()), dtype="<u4")
+    place = np.arange(int(counts.sum())) + np.repeat(first - (np.cumsum(counts) - counts), counts)
+    ranks[place] = rank_of[np.frombuffer(b"".join(sequences), dtype="<u4")]
+    widths = (1 + (ranks > 0xFF) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)).astype(np.uint8)
+    codes = (widths - 1).reshape(-1, 4)
+    control = (codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6).tobytes()
+    used = np.arange(4, dtype=np.uint8) < widths[:, None]
+    data = ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    ends = np.concatenate([[0], np.cumsum(widths, dtype=np.int64)])
+    cuts = np.append(first, len(ranks))
+    controls = [control[i // 4 : j // 4] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+    bounds = ends[cuts].tolist()
+    return controls, [data[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
 
 
 #: Widths of the four numbers of each control byte, and where each of them starts.
@@ -61,14 +69,16 @@ TOTALS = WIDTHS.sum(axis=1)
 KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 
 
-def unpack(control: bytes, data: bytes, n: int, id_of: np.ndarray) -> np.ndarray:
-    """The ids, by looking up each control byte's widths and starts."""
-    codes = np.frombuffer(control, dtype=np.uint8)
+def unpack(controls: list[bytes], data: list[bytes], counts: list[int], id_of: np.ndarray) -> list[bytes]:
+    """The packed ids of each sequence, by looking up every control byte's widths and starts."""
+    codes = np.frombuffer(b"".join(controls), dtype=np.uint8)
     totals = TOTALS[codes]
-    at = ((np.cumsum(totals) - totals)[:, None] + STARTS[codes]).ravel()[:n]
-    raw = np.frombuffer(data + b"\0\0\0", dtype=np.uint8).astype(np.uint32)
+    at = ((np.cumsum(totals) - totals)[:, None] + STARTS[codes]).ravel()
+    raw = np.frombuffer(b"".join(data) + b"\0\0\0", dtype=np.uint8).astype(np.uint32)
     number = raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16 | raw[at + 3] << 24
-    return id_of[number & KEEP[WIDTHS[codes].ravel()[:n]]].astype("<u4")
+    found = id_of[number & KEEP[WIDTHS[codes].ravel()]].astype("<u4").tobytes() if len(at) else b""
+    starts = 16 * (np.cumsum([0, *map(len, controls)]))[:-1]
+    return [found[i : i + 4 * n] for i, n in zip(starts.tolist(), counts)]
 
 
 def write(docs: DataFrame, path: str, vocab_path: str, end_id: int, text: str = "text") -> None:
@@ -91,8 +101,7 @@ def write(docs: DataFrame, path: str, vocab_path: str, end_id: int, text: str =
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            coded = [pack(np.frombuffer(x, dtype="<u4"), rank_of) for x in batch.column(4).to_pylist()]
-            controls, data = (pa.array([c[i] for c in coded], pa.binary()) for i in (0, 1))
+            controls, data = (pa.array(x, pa.binary()) for x in pack(batch.column(4).to_pylist(), rank_of))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], controls, data], names=["doc_id", "n", "crc", "came", "control", "data"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -114,7 +123,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, control, data = (batch.column(i).to_pylist() for i in (3, 4, 5))
-            ids = pa.array([unpack(c, d, k, id_of).tobytes() for c, d, k in zip(control, data, n)], pa.binary())
+            ids = pa.array(unpack(control, data, n, id_of), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], ids], names=["shard", "doc_id", "came", "n", "ids"])
 
     ordered = files.select("shard", "doc_id", "came", "n", "control", "data")
