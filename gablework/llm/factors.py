@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gablework.llm.common import text_or_empty, trimmed, words_of
+from gablework.llm.common import settled, text_or_empty, trimmed, words_of
 from gablework.llm.training import fold, labelled_sample, logistic
 
 #: Labelled documents to learn from, at most; buckets of words; factors of an interaction.
@@ -28,32 +28,41 @@ def _share(top: Column, bottom: Column) -> Column:
     return F.when(bottom == 0, F.lit(0.0)).otherwise(top.cast("double") / bottom)
 
 
-def _inputs(docs: DataFrame, text: str) -> DataFrame:
-    """(doc_id, words, measures): hashes of the words, and structure and metadata of every whole text."""
-    body = text_or_empty(text)
-    stored = F.coalesce(F.col("n_chars").cast("double"), F.length(body)) if "n_chars" in docs.columns else F.length(body)
+def _count(name: str, characters: str) -> Column:
+    """How often any of the given characters occurs."""
+    left = F.col(name)
+    for c in characters:
+        left = F.replace(left, F.lit(c), F.lit(""))
+    return F.length(name) - F.length(left)
 
-    def without(characters: str) -> Column:
-        return F.length(body) - F.length(F.translate(body, characters, ""))
 
-    words = words_of(body)
-    n = F.size(words)
-    chars = F.length(F.translate(body, " \t\n\x0b\f\r", ""))
-    lines = F.filter(F.split(body, "\n"), lambda x: trimmed(x) != "")
-    upper = F.length(F.regexp_replace(body, r"[^\p{Lu}]+", ""))
+def _inputs(docs: DataFrame, text: str) -> DataFrame:
+    """(doc_id, words, measures): hashes of the words, and structure and metadata of every whole text."""
+    stored = F.coalesce(F.col("n_chars").cast("double"), F.length("__body")) if "n_chars" in docs.columns else F.length("__body")
+    lines = F.filter(F.split("__body", "\n"), lambda x: trimmed(x) != "")
+    rows = docs.withColumn("__body", text_or_empty(text))
+    # Arrays that several measures read are split once; single characters are counted by plain replacement.
+    rows = settled(
+        rows.select("doc_id", "__body", stored.cast("double").alias("stored")),
+        words=F.transform(words_of(F.col("__body")), lambda w: F.xxhash64(F.lower(w))),
+        lines=lines,
+        chars=F.length("__body") - _count("__body", " \t\n\x0b\f\r"),
+    )
+    n, n_lines, chars = F.size("words"), F.size("lines"), F.col("chars")
+    upper = F.length(F.regexp_replace("__body", r"[^\p{Lu}]+", ""))
     measures = [
-        F.log1p(F.length(body)),
+        F.log1p(F.length("__body")),
         F.log1p(n),
         F.least(_share(chars, n), F.lit(30.0)),
-        F.least(_share(without("#*$%&|<>"), n), F.lit(3.0)),
-        F.least(_share(without("!?"), n), F.lit(3.0)),
+        F.least(_share(_count("__body", "#*$%&|<>"), n), F.lit(3.0)),
+        F.least(_share(_count("__body", "!?"), n), F.lit(3.0)),
         _share(upper, chars),
-        _share(without("0123456789"), chars),
-        F.log1p(_share(n, F.size(lines))),
-        _share(F.size(lines) - F.size(F.array_distinct(lines)), F.size(lines)),
-        F.log1p(stored),
+        _share(_count("__body", "0123456789"), chars),
+        F.log1p(_share(n, n_lines)),
+        _share(n_lines - F.size(F.array_distinct("lines")), n_lines),
+        F.log1p("stored"),
     ]
-    return docs.select("doc_id", F.transform(words, lambda w: F.xxhash64(F.lower(w))).alias("words"), F.array(*[m.cast("double") for m in measures]).alias("measures"))
+    return rows.select("doc_id", "words", F.array(*[m.cast("double") for m in measures]).alias("measures"))
 
 
 def _counted(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
