@@ -16,8 +16,12 @@ from gablework.session import stage
 COSINE, SHARD, LINKS, GROUND = 0.98, 4096, 12, 24
 #: Beam when building, first beam when searching, nodes opened per step.
 BUILD_BEAM, BEAM, OPENED = 40, 48, 4
-#: Vectors inserted together; queries searched together.
-INSERTED, SEARCHED = 256, 1024
+#: Vectors inserted together; queries searched together; queries with a full beam followed together.
+INSERTED, SEARCHED, SPREAD = 256, 1024, 64
+#: A node is to be linked from one of so many of its nearest links.
+RETURNED = 8
+#: How much less similar than a link a node may be on the way from link to link.
+SLACK = 0.02
 #: Queries of an audit, and the shares of true neighbours that must be found.
 AUDITED, NEIGHBOURS, NEAREST_RECALL, LINK_RECALL = 64, 10, 0.9, 1.0
 
@@ -40,6 +44,39 @@ class LayeredGraph:
             step = min(INSERTED, max(32, done))
             self._insert(queue[done : done + step], bool(done))
             done += step
+        self._connect()
+
+    def _reach(self, start: int, further: np.ndarray) -> np.ndarray:
+        """The nodes that ground links, and one further link per node, lead to from a node."""
+        reached = np.zeros(len(self.unit) + 1, dtype=bool)  # the last place takes the ids -1
+        frontier = np.array([start])
+        while len(frontier):
+            reached[frontier] = True
+            around = np.append(self.layers[0][frontier].ravel(), further[frontier])
+            frontier = np.unique(around[(around >= 0) & ~reached[around]])
+        return reached[:-1]
+
+    def _connect(self) -> None:
+        """One more ground link per node: to a node that its nearest ones don't link to, or that the top doesn't reach.
+
+        Links to a node may all have been replaced by nearer ones.  It is then linked
+        from the nearest of its own links, or of the reached nodes, without a further link yet.
+        """
+        ground, n = self.layers[0], len(self.unit)
+        further = np.full(n, -1, dtype=np.int32)
+        near = np.where(ground >= 0, np.einsum("ij,ikj->ik", self.unit, self.unit[np.maximum(ground, 0)]), -np.inf)
+        nearest = np.take_along_axis(ground, np.argsort(-near, axis=1, kind="stable")[:, :RETURNED], 1)
+        returned = (ground[np.maximum(nearest, 0)] == np.arange(n)[:, None, None]).any(axis=(1, 2))
+        for lost in np.flatnonzero(~returned):
+            free = nearest[lost][(nearest[lost] >= 0) & (further[nearest[lost]] < 0)]
+            further[free[:1]] = lost
+        reached = self._reach(self.top, further) if n else np.zeros(0, dtype=bool)
+        while not reached.all():
+            lost = int(np.argmin(reached))
+            near = np.where(reached & (further < 0), self.unit @ self.unit[lost], -np.inf)
+            further[np.argmax(near)] = lost
+            reached |= self._reach(lost, further)
+        self.layers[0] = np.hstack([ground, further[:, None]])
 
     def _insert(self, nodes: np.ndarray, some: bool) -> None:
         queries = self.unit[nodes]
@@ -157,25 +194,49 @@ class LayeredGraph:
         entry = np.full((len(queries), 1), self.top, dtype=np.int32)
         for level in range(len(self.layers) - 1, 0, -1):
             entry, _ = self.search_layer(level, queries, entry, 4)
+        # With the top among the entries, a beam as wide as the graph finds every node.
+        entry = np.where(entry == self.top, -1, entry)
+        entry = np.hstack([np.full((len(queries), 1), self.top, dtype=np.int32), entry])
         return self.search_layer(0, queries, entry, beam)
 
+    def spread(self, queries: np.ndarray, ids: np.ndarray, sims: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """All (query, node) of a cosine of ``least`` or more that ground links lead to from the given
+        finds, by way of nodes at most :data:`SLACK` farther."""
+        table, n = self.layers[0], len(self.unit)
+        seen = np.zeros((len(queries), n + 1), dtype=bool)  # the last column takes the ids -1
+        seen[np.arange(len(queries))[:, None], ids] = True
+        seen[:, n] = True
+        row, column = np.nonzero(sims >= least - SLACK)
+        node, score = ids[row, column], sims[row, column]
+        out = []
+        while len(row):
+            good = score >= least
+            out.append(np.stack([row[good], node[good]]))
+            around, row = table[node].ravel(), np.repeat(row, table.shape[1])
+            fresh = ~seen[row, around]
+            row, node = np.divmod(np.unique(row[fresh] * n + around[fresh]), n)
+            seen[row, node] = True
+            score = np.einsum("ij,ij->i", queries[row], self.unit[node])
+            near = score >= least - SLACK
+            row, node, score = row[near], node[near], score[near]
+        return tuple(np.concatenate(out, axis=1)) if out else (np.zeros(0, int), np.zeros(0, int))
+
 
 def _within(graph: LayeredGraph, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """All (query, node) found with a cosine of ``least`` or more; a beam full of such is doubled."""
-    n, out = len(graph.unit), []
-    todo = np.arange(len(queries))
-    while len(todo):
-        wider = []
-        step = max(1, min(SEARCHED, (1 << 22) // max(beam, 1)))
-        for i in range(0, len(todo), step):
-            part = todo[i : i + step]
-            ids, sims = graph.search(queries[part], beam)
-            full = (sims[:, -1] >= least) & (ids.shape[1] < n)
-            wider.append(part[full])
-            row, column = np.nonzero((sims >= least) & ~full[:, None])
-            out.append(np.stack([part[row], ids[row, column]]))
-        todo, beam = np.concatenate(wider), 2 * beam
-    return tuple(np.concatenate(out, axis=1)) if out else (np.zeros(0, int), np.zeros(0, int))
+    """All (query, node) found with a cosine of ``least`` or more; from a beam full of such, the links are followed further."""
+    n, out = len(graph.unit), [np.zeros((2, 0), dtype=int)]
+    step = max(1, min(SEARCHED, (1 << 22) // max(beam, 1)))
+    for i in range(0, len(queries), step):
+        ids, sims = graph.search(queries[i : i + step], beam)
+        full = (sims[:, -1] >= least) & (ids.shape[1] < n)
+        row, column = np.nonzero((sims >= least) & ~full[:, None])
+        out.append(np.stack([i + row, ids[row, column]]))
+        crowded = np.flatnonzero(full)
+        for j in range(0, len(crowded), SPREAD):
+            part = crowded[j : j + SPREAD]
+            row, node = graph.spread(queries[i + part], ids[part], sims[part], least)
+            out.append(np.stack([i + part[row], node]))
+    return tuple(np.concatenate(out, axis=1))
 
 
 def linked_pairs(graph: LayeredGraph, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, float]:

@@ -222,6 +222,19 @@ def test_graphs_equal_brute_force(spark):
     assert graphs.classes(frame.limit(0)).count() == 0
 
 
+def test_graph_finds_all_links_of_a_large_group():
+    """Nearly half the vectors are near copies, so that beams are full of links and outer copies lose their links."""
+    rng = np.random.default_rng(3)
+    raw = rng.normal(size=(1500, 64))
+    raw[::2][:700] = raw[0] + rng.normal(scale=0.08, size=(700, 64)) * rng.choice([1, 2], size=(700, 1))
+    unit = (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
+    graph = graphs.LayeredGraph(unit, 1)
+    row, node, recall = graphs.linked_pairs(graph, unit, 0.98)
+    close = unit @ unit.T >= 0.98 - 1e-4
+    assert recall == 1 and set(zip(row.tolist(), node.tolist())) >= set(zip(*np.nonzero(close)))
+    assert len(row) <= (unit @ unit.T >= 0.98 - 2e-4).sum()
+
+
 def test_chat_keeps_maximal_conversations(spark):
     prepared(spark)
     turns = [("user", "hi"), ("assistant", "hello"), ("user", None), ("assistant", "")]
