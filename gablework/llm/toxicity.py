@@ -11,13 +11,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gablework.llm.common import text_or_empty
+from gablework.llm.common import settled, text_or_empty
 from gablework.llm.training import fit_logistic, fold, labelled_sample, logistic
 
 #: Labelled documents to learn from, at most; stems of the lexicon, at most.
 SAMPLE, LEXICON = 6000, 20_000
-#: A stem counts from so many words of toxic documents and so much log odds on.
-LEAST_WORDS, LEAST_ODDS = 4, 2.0
+#: A stem counts from so many words of toxic documents and so much surely exceeded log odds on.
+LEAST_WORDS, LEAST_ODDS = 4, 1.6
 #: Letters of a stem; whole words are kept apart by a leading "=".
 STEM = (3, 8)
 #: Words added to a text's own, so that a single match in a short one says little.
@@ -179,27 +179,27 @@ class Model:
 
 
 def _stem_counts(sample: DataFrame):
-    """For each stem and half the distinct words of toxic documents, and of all, that have it.
+    """For each stem and half the words in toxic documents, and in all, that have it.
 
-    A document's words count once each, so that a repeated word or line is no
-    more evidence than a single one.  The stem "" counts all words.
+    A word counts once for each word that it follows, so that copies of a
+    document, and repeated words or lines, are no more evidence than a single
+    one.  The stem "" counts all words.
     """
-    words = F.array_distinct(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "), " "))
+    words = F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+    rows = settled(sample.select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"), "__label", "text"), words=words)
+    follows = F.transform("words", lambda w, i: F.struct(F.get("words", i - 1).alias("before"), w.alias("word")))
+    places = rows.select("half", "__label", F.inline(follows)).distinct()
+    counts = places.groupBy("half", "__label", "word").agg(F.count(F.lit(1)).alias("n"))
     low, high = STEM
-    stems = F.flatten(
+    stems = F.concat(
+        F.array(F.lit(""), F.concat(F.lit("="), "word")),
         F.transform(
-            F.filter(words, lambda w: w != ""),
-            lambda w: F.concat(
-                F.array(F.lit(""), F.concat(F.lit("="), w)),
-                F.transform(
-                    F.filter(F.array(*[F.lit(k) for k in range(low, high + 1)]), lambda k: k < F.length(w)), lambda k: F.substring(w, F.lit(1), k)
-                ),
-            ),
-        )
+            F.filter(F.array(*[F.lit(k) for k in range(low, high + 1)]), lambda k: k < F.length("word")), lambda k: F.substring("word", F.lit(1), k)
+        ),
     )
-    rows = sample.select(F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half"), "__label", F.explode(stems).alias("stem"))
-    toxic = [F.sum(F.when(F.col("half") == h, F.col("__label")).otherwise(0)).alias(f"t{h}") for h in (0, 1)]
-    every = [F.sum(F.when(F.col("half") == h, 1).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
+    rows = counts.select("half", "__label", "n", F.explode(stems).alias("stem"))
+    toxic = [F.sum(F.when(F.col("half") == h, F.col("__label") * F.col("n")).otherwise(0)).alias(f"t{h}") for h in (0, 1)]
+    every = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
     counted = rows.groupBy("stem").agg(*toxic, *every).where(F.col("t0") + F.col("t1") >= 2)
     # Stems seen in toxic documents more often than by chance; of them the most telling.
     share = (F.col("t0") + F.col("t1")) / (F.col("n0") + F.col("n1"))
@@ -208,14 +208,37 @@ def _stem_counts(sample: DataFrame):
 
 
 def _lexicon(stems, halves: tuple[int, ...]) -> dict[str, float]:
-    """Stems by the log ratio of their rates among words of toxic and of other documents."""
+    """Stems by the log ratio of their rates among words of toxic and of other documents.
+
+    The ratio must be high by two standard errors too.  Longer stems are taken
+    first, and a shorter one must also hold without their words: neither
+    a chance word nor the short beginning it shares with an insult counts.
+    """
     t = sum(stems[f"t{h}"] for h in halves).to_numpy(dtype=float)
-    k = sum(stems[f"n{h}"] for h in halves).to_numpy(dtype=float) - t
-    whole = (stems["stem"] == "").to_numpy()
-    if not whole.any():
+    n = sum(stems[f"n{h}"] for h in halves).to_numpy(dtype=float)
+    counts = {s: (toxic, every) for s, toxic, every in zip(stems["stem"], t, n)}
+    if "" not in counts:
         return {}
-    odds = np.log((t + 0.5) / (t[whole].sum() + 1)) - np.log((k + 0.5) / (k[whole].sum() + 1))
-    return {s: float(o) for s, o, n in zip(stems["stem"], odds, t) if s and n >= LEAST_WORDS and o >= LEAST_ODDS}
+    all_toxic, all_words = counts.pop("")
+    base = np.log((all_toxic + 1) / (all_words - all_toxic + 1))
+
+    def odds(toxic: float, every: float) -> tuple[float, float]:
+        clean = every - toxic
+        ratio = float(np.log((toxic + 0.5) / (clean + 0.5)) - base)
+        return ratio, ratio - 2 * float(np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5)))
+
+    left, found = dict(counts), {}
+    for stem in sorted(counts, key=lambda s: (not s.startswith("="), -len(s), s)):
+        ratio, surely = odds(*counts[stem])
+        toxic, every = left[stem]
+        if counts[stem][0] < LEAST_WORDS or surely < LEAST_ODDS or (every >= LEAST_WORDS and odds(toxic, every)[0] < LEAST_ODDS):
+            continue
+        found[stem] = ratio
+        word = stem.removeprefix("=")
+        for k in range(STEM[0], min(STEM[1] + 1, len(word))):
+            if word[:k] in left:
+                left[word[:k]] = (left[word[:k]][0] - toxic, left[word[:k]][1] - every)
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", bound: int = SAMPLE) -> Model:

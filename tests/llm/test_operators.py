@@ -257,6 +257,17 @@ def test_grammar_scores_clauses():
     assert not any(scorer.features("")[:6]) and scorer.features("idiots! fine.")[3] > 0
 
 
+def test_lexicon_counts_contexts_not_copies(spark):
+    """Copies of a toxic text don't make its chance words insults, nor does an insult its short beginning."""
+    rows = [(i, 1, f"{prose(40 * i, 20)} {word(40 * i + 3)} vermin {prose(40 * i + 20, 10)}") for i in range(30)]
+    rows += [(100 + i, 1, "some plinth of a vermin") for i in range(30)]
+    rows += [(200 + i, 0, f"{prose(40 * i, 30)} verse {word(i)}") for i in range(60)]
+    sample = spark.createDataFrame(rows, "doc_id long, __label int, text string")
+    found = toxicity._lexicon(toxicity._stem_counts(sample), (0, 1))
+    assert {"=vermin", "verm", "vermi"} <= set(found) and not {"=plinth", "plin", "ver", "=verse"} & set(found)
+    assert toxicity._lexicon(toxicity._stem_counts(sample.limit(0)), (0, 1)) == {}
+
+
 @pytest.mark.parametrize(("module", "label", "column"), [(toxicity, "toxic", "report_scores"), (factors, "quality", "report")])
 def test_held_out_accuracy(spark, module, label, column):
     prepared(spark)
