@@ -167,19 +167,38 @@ def _uniforms(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum((top + half) * scale, np.float32(1 - 2**-24)), np.minimum((low + half) * scale, np.float32(1 - 2**-24))
 
 
-def samples(row: np.ndarray, code: np.ndarray, weight: np.ndarray, rows: int, size: int) -> np.ndarray:
-    """(rows, size) consistent weighted samples of rows that each have some element.
+class _Side:
+    """The elements of some rows with one of their weights."""
+
+    def __init__(self, row: np.ndarray, weight: np.ndarray, part: slice | np.ndarray):
+        self.part, self.row, self.log_weight = part, row[part], np.log(weight[part]).astype(np.float32)
+        self.present, self.start = np.unique(self.row, return_index=True)
+        self.counts = np.diff(np.append(self.start, len(self.row)))
+
+    def least(self, r: np.ndarray, log_c: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and t of the element taken of each row."""
+        r, log_c, b = r[self.part], log_c[self.part], b[self.part]
+        t = np.floor(self.log_weight / r + b)
+        a = log_c - r * (t - b) - r
+        hit = np.flatnonzero(a == np.repeat(np.minimum.reduceat(a, self.start), self.counts))
+        _, at = np.unique(self.row[hit], return_index=True)
+        return hit[at], t[hit[at]]
+
+
+def samples(row: np.ndarray, code: np.ndarray, weight: np.ndarray, plain: np.ndarray, rows: int, size: int) -> np.ndarray:
+    """(rows, 2 * size) consistent weighted samples of rows that each have some element, by ``weight`` and then by ``plain``.
 
     Per element and sample r and c are Gamma(2, 1) and b is uniform, all drawn from the
     element's hash; t = floor(ln w / r + b), and the element with the least
-    ln c - r (t - b) - r is taken, with its t.
+    ln c - r (t - b) - r is taken, with its t.  Both weights see the same draws, so
+    a row whose weights are all equal has the same samples by both.
     """
     present, start = np.unique(row, return_index=True)
-    out = np.zeros((rows, size), dtype=np.uint64)
+    out = np.zeros((rows, 2 * size), dtype=np.uint64)
     if not len(present):
         return out
-    log_weight = np.log(weight).astype(np.float32)
-    counts = np.diff(np.append(start, len(row)))
+    differs = np.logical_or.reduceat(weight != plain, start)
+    sides = [_Side(row, weight, slice(None)), _Side(row, plain, np.repeat(differs, np.diff(np.append(start, len(row)))))]
     for j in range(size):
         seed = _mix(code + _step(2 * j + 1))
         u1, u2 = _uniforms(seed)
@@ -188,18 +207,20 @@ def samples(row: np.ndarray, code: np.ndarray, weight: np.ndarray, rows: int, si
         b, _ = _uniforms(_mix(second + _GOLD))
         r = -np.log(u1 * u2)
         log_c = np.log(-np.log(u3 * u4))
-        t = np.floor(log_weight / r + b)
-        a = log_c - r * (t - b) - r
-        least = np.minimum.reduceat(a, start)
-        hit = np.flatnonzero(a == np.repeat(least, counts))
-        _, at = np.unique(row[hit], return_index=True)
-        chosen = hit[at]
-        out[present, j] = _mix(code[chosen] ^ _mix(t[chosen].astype(np.int64).view(np.uint64) + _GOLD))
+        for side, place in zip(sides, (j, size + j)):
+            out[:, place] = out[:, j]
+            if len(side.row):
+                at, t = side.least(r, log_c, b)
+                out[side.present, place] = _mix(code[side.part][at] ^ _mix(t.astype(np.int64).view(np.uint64) + _GOLD))
     return out
 
 
 def signatures(docs: DataFrame, weights: Weights, text: str = "text") -> DataFrame:
-    """(doc_id, h1, h2, bands): the text's identity and one key per band; no keys without words."""
+    """(doc_id, h1, h2, bands): the text's identity and one key per band; no keys without words.
+
+    The first BANDS keys are drawn by tf-idf, the others by plain tf weights: a link by
+    tf alone may be far less similar by tf-idf where its shingles are in many documents.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +228,9 @@ def signatures(docs: DataFrame, weights: Weights, text: str = "text") -> DataFra
         for batch in batches:
             bands = []
             for _, rows, row, code, times in shingler(batch.column(3)):
-                drawn = samples(row, code, weights(code, times), rows, BANDS * ROWS)
-                keys = np.zeros((rows, BANDS), dtype=np.uint64)
-                for i in range(BANDS * ROWS):
+                drawn = samples(row, code, weights(code, times), times.astype(float), rows, BANDS * ROWS)
+                keys = np.zeros((rows, 2 * BANDS), dtype=np.uint64)
+                for i in range(2 * BANDS * ROWS):
                     keys[:, i // ROWS] = _mix(keys[:, i // ROWS] * _GOLD + drawn[:, i])
                 has = np.bincount(row, minlength=rows) > 0
                 bands += [k.tolist() if h else [] for k, h in zip(keys.view(np.int64), has)]
@@ -328,7 +349,9 @@ def _across(open_members: DataFrame, texts: DataFrame, weights: Weights) -> Data
         if lo == hi:
             wanted &= np.tri(len(part), k=-1, dtype=bool)
         for earlier in range(band):
-            wanted &= keys[:, earlier][:, None] != keys[:, earlier][None, :]
+            for one in (earlier, earlier + BANDS):
+                for two in (earlier, earlier + BANDS):
+                    wanted &= keys[:, one][:, None] != keys[:, two][None, :]
         found = np.zeros((0, 2), dtype=np.int64)
         if wanted.any():
             row, code, idf = _occurrences(pa.array(part["text"], pa.large_string()), weights)
@@ -381,7 +404,9 @@ def _classified(docs: DataFrame, text: str) -> DataFrame:
         signed.groupBy("h1", "h2").agg(F.coalesce(F.min(F.col("doc_id").cast("long")), F.col("h1")).alias("node"), F.first("bands").alias("bands")),
         "nodes",
     )
-    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", F.xxhash64("band", "key").alias("bucket"))
+    # Bands by tf-idf and by tf share their buckets: a text whose weights are all 1 is in each once.
+    band_and_bucket = F.transform("bands", lambda key, i: F.struct((i % BANDS).alias("band"), F.xxhash64(i % BANDS, key).alias("bucket")))
+    keyed = nodes.select("node", F.inline(F.array_distinct(band_and_bucket)))
     shared = stage(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
     members = stage(keyed.join(shared, "bucket").distinct(), "members")
     wanted = stage(members.select("node").distinct().join(nodes, "node"), "wanted")

@@ -179,6 +179,29 @@ def test_minhash_group_with_many_texts(spark):
     assert all(named[i] == 0 for i in range(60)) and all(named[100 + i] == 100 + i for i in range(60))
 
 
+def test_minhash_large_groups_linked_to_one_text_only(spark):
+    """Copies of a base with words replaced or inserted, a third and half of all rows; each is linked to the base only."""
+    prepared(spark)
+    base = [word(i) for i in range(304)]
+    for group, others in ((300, 600), (300, 300)):
+        rng = np.random.default_rng(group + others)
+        texts = [base]
+        for i in range(group):
+            inserts, copy = i % 2 == 1, list(base)
+            # Single words far apart: each replaced one changes five shingles of 300, each inserted one parts four.
+            for k in sorted(rng.choice(50, 7 if inserts else 6, replace=False), reverse=True):
+                copy[6 * k + 3 : 6 * k + 3 + (not inserts)] = [f"other{i}x{k}"]
+            texts.append(copy)
+        texts += [[f"single{i}x{k}" for k in range(60)] for i in range(others)]
+        sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+        near = {i for i in range(1, len(texts)) if len(sets[i] & sets[0]) >= 0.8 * len(sets[i] | sets[0])}
+        assert len(near) == group and max(len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(1, 40) for j in range(1, i)) < 0.8
+        rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+        found = {r["doc_id"] for r in minhash.classes(rows).collect() if r["class_id"] != r["doc_id"]}
+        # One pair in 1300 of a similarity of exactly 0.8 shares no band.
+        assert found <= near and len(near - found) <= 2
+
+
 def test_block_weights_equal_pairs():
     import pyarrow as pa
 
