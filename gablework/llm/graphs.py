@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,8 @@ BUILD_BEAM, BEAM, OPENED = 40, 48, 4
 INSERTED, SEARCHED, SPREAD = 256, 1024, 64
 #: A node is to be linked from one of so many of its nearest links.
 RETURNED = 8
+#: Vector components gathered at once when pairs are verified: tens of thousands of pairs.
+VERIFIED = 1 << 21
 #: How much less similar than a link a node may be on the way from link to link.
 SLACK = 0.02
 #: Queries of an audit, and the shares of true neighbours that must be found.
@@ -216,31 +218,40 @@ class LayeredGraph:
             fresh = ~seen[row, around]
             row, node = np.divmod(np.unique(row[fresh] * n + around[fresh]), n)
             seen[row, node] = True
-            score = np.einsum("ij,ij->i", queries[row], self.unit[node])
+            score = _cosines(queries, row, self.unit, node)
             near = score >= least - SLACK
             row, node, score = row[near], node[near], score[near]
         return tuple(np.concatenate(out, axis=1)) if out else (np.zeros(0, int), np.zeros(0, int))
 
 
-def _within(graph: LayeredGraph, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """All (query, node) found with a cosine of ``least`` or more; from a beam full of such, the links are followed further."""
-    n, out = len(graph.unit), [np.zeros((2, 0), dtype=int)]
+def _cosines(left: np.ndarray, i: np.ndarray, right: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of rows ``i`` of one table and ``j`` of another, some at a time."""
+    out = np.empty(len(i), dtype=left.dtype)
+    step = max(1, VERIFIED // max(1, left.shape[1]))
+    for k in range(0, len(i), step):
+        part = slice(k, k + step)
+        out[part] = np.einsum("ij,ij->i", left[i[part]], right[j[part]])
+    return out
+
+
+def _within(graph: LayeredGraph, queries: np.ndarray, least: float, beam: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (query, node) found with a cosine of ``least`` or more, some queries at a time; from a beam full of such, the links are followed further."""
+    n = len(graph.unit)
     step = max(1, min(SEARCHED, (1 << 22) // max(beam, 1)))
     for i in range(0, len(queries), step):
         ids, sims = graph.search(queries[i : i + step], beam)
         full = (sims[:, -1] >= least) & (ids.shape[1] < n)
         row, column = np.nonzero((sims >= least) & ~full[:, None])
-        out.append(np.stack([i + row, ids[row, column]]))
+        yield i + row, ids[row, column]
         crowded = np.flatnonzero(full)
         for j in range(0, len(crowded), SPREAD):
             part = crowded[j : j + SPREAD]
             row, node = graph.spread(queries[i + part], ids[part], sims[part], least)
-            out.append(np.stack([i + part[row], node]))
-    return tuple(np.concatenate(out, axis=1))
+            yield i + part[row], node
 
 
-def linked_pairs(graph: LayeredGraph, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Candidate pairs, from beams widened until an audit against all vectors of the shard passes; its recall."""
+def linked_parts(graph: LayeredGraph, queries: np.ndarray, cosine: float) -> tuple[Iterator[tuple[np.ndarray, np.ndarray]], float]:
+    """Candidate pairs, some queries at a time, from beams widened until an audit against all vectors of the shard passes; its recall."""
     n, margin = len(graph.unit), 1e-4
     audit = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
     exact = queries[audit] @ graph.unit.T
@@ -250,16 +261,60 @@ def linked_pairs(graph: LayeredGraph, queries: np.ndarray, cosine: float) -> tup
     while True:
         ids, sims = graph.search(queries[audit], beam)
         nearest = (sims >= kth[:, None] - 1e-5).sum() / max(1, (exact >= kth[:, None] - 1e-5).sum())
-        row, _ = _within(graph, queries[audit], cosine - margin, beam)
+        found = sum(len(row) for row, _ in _within(graph, queries[audit], cosine - margin, beam))
         true = (exact >= cosine - margin).sum()
-        recall = len(row) / true if true else 1.0
+        recall = found / true if true else 1.0
         if (nearest >= NEAREST_RECALL and recall >= LINK_RECALL) or beam >= n:
             break
         beam *= 2
-    row, node = _within(graph, queries, cosine - margin, beam)
+    return _within(graph, queries, cosine - margin, beam), recall
+
+
+def linked_pairs(graph: LayeredGraph, queries: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """All pairs of :func:`linked_parts` at once, and the recall of its audit."""
+    parts, recall = linked_parts(graph, queries, cosine)
+    row, node = (np.concatenate(x) for x in zip((np.zeros(0, int), np.zeros(0, int)), *parts))
     return row, node, recall
 
 
+def _either_way(parts: Iterable[tuple[np.ndarray, np.ndarray]], n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within one shard once each, lesser first: a link may be found from one end or both.  One byte per pair of rows."""
+    met = np.zeros((n, n), dtype=bool)
+    for q, x in parts:
+        met[np.minimum(q, x), np.maximum(q, x)] = True
+    np.fill_diagonal(met, False)
+    step = max(1, (1 << 16) // max(n, 1))
+    for i in range(0, n, step):
+        q, x = np.nonzero(met[i : i + step])
+        yield i + q, x
+
+
+class _Links:
+    """Link counts of the pairs of two shards, and a forest that connects what they connect; the pairs themselves are dropped."""
+
+    def __init__(self, q_times: np.ndarray, times: np.ndarray, same: bool):
+        self.q_times, self.times, self.shift = q_times, times, 0 if same else len(q_times)
+        # Within one shard both ends are counted in the same places.
+        self.count = np.zeros(len(times) + self.shift, dtype=np.int64)
+        self.root = np.arange(len(self.count))
+        self.forest: list[tuple[int, int]] = []
+
+    def add(self, q: np.ndarray, x: np.ndarray) -> None:
+        np.add.at(self.count, q, self.times[x])
+        np.add.at(self.count, x + self.shift, self.q_times[q])
+        apart = self.root[q] != self.root[x + self.shift]
+        ends = _forest(self.root[q[apart]], self.root[x[apart] + self.shift])
+        for a, b in ends:
+            self.forest.append((a, b))
+            while self.root[a] != a:
+                a = self.root[a]
+            while self.root[b] != b:
+                b = self.root[b]
+            self.root[max(a, b)] = min(a, b)
+        while ends and (self.root[self.root] != self.root).any():
+            self.root = self.root[self.root]
+
+
 def _usable(vector: Column, label: Column) -> Column:
     infinite = float("inf")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
@@ -289,8 +344,9 @@ def classes(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD) -> D
     label's nodes are dealt to shards of about ``shard`` vectors by hash; each
     shard's graph is written once.  Every shard is searched for the vectors of all
     shards of its label: each pair of shards once, in a task of its own.  Found
-    pairs are verified in double precision.  A pair of shards returns link counts
-    and a spanning forest of its links, so its result is no longer than its rows.
+    pairs are verified in double precision, some at a time, and dropped.  A pair of
+    shards keeps and returns link counts and a forest that connects what its links connect, so its
+    memory does not grow with the links and its result is no longer than its rows.
 
     A vector that is null, empty, zero, or holds null or non-finite components, and
     one without label, links with nothing.  Vectors of other lengths do not link.
@@ -367,16 +423,18 @@ def classes(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD) -> D
                 graph.top, graph.layers = pickle.loads(row.graph)
                 norm, q_norm = np.linalg.norm(raw, axis=1), np.linalg.norm(q_raw, axis=1)
                 graph.unit = (raw / norm[:, None]).astype(np.float32)
-                q, x, _ = linked_pairs(graph, (q_raw / q_norm[:, None]).astype(np.float32), cosine)
-                q, x = (q[q != x], x[q != x]) if row.shard == row.other else (q, x)
-                sure = np.einsum("ij,ij->i", q_raw[q], raw[x]) / (q_norm[q] * norm[x]) >= cosine
-                q, x = q[sure], x[sure]
-                if row.shard == row.other:  # a link may have been found from one end only
-                    both = np.unique(np.stack([np.minimum(q, x), np.maximum(q, x)]), axis=1)
-                    q, x = both[0], both[1]
-                found = pd.DataFrame({"a": np.concatenate([q_node[q], node[x]]), "n": np.concatenate([times[x], q_times[q]])})
+                same = row.shard == row.other
+                parts, _ = linked_parts(graph, (q_raw / q_norm[:, None]).astype(np.float32), cosine)
+                links = _Links(q_times, times, same)
+                for q, x in _either_way(parts, len(node)) if same else parts:
+                    for k in range(0, len(q), 1 << 16):
+                        qk, xk = q[k : k + (1 << 16)], x[k : k + (1 << 16)]
+                        sure = _cosines(q_raw, qk, raw, xk) / (q_norm[qk] * norm[xk]) >= cosine
+                        links.add(qk[sure], xk[sure])
+                ends = node if same else np.concatenate([q_node, node])
+                found = pd.DataFrame({"a": ends, "n": links.count}).query("n > 0")
                 found = found.groupby("a", as_index=False)["n"].sum()
-                edges = pd.DataFrame(_forest(q_node[q], node[x]), columns=["a", "b"], dtype="int64")
+                edges = pd.DataFrame(ends[np.array(links.forest, dtype=int).reshape(-1, 2)], columns=["a", "b"], dtype="int64")
                 yield pd.concat([found.assign(b=None), edges.assign(n=None)])[["a", "b", "n"]].astype("Int64")
 
     found = stage(pairs.mapInPandas(search, "a bigint, b bigint, n bigint"), "links")

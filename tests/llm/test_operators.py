@@ -258,6 +258,35 @@ def test_graph_finds_all_links_of_a_large_group():
     assert len(row) <= (unit @ unit.T >= 0.98 - 2e-4).sum()
 
 
+def test_links_of_near_copies_need_little_memory():
+    """Shards full of near copies: pairs come and go in parts, and counts and forest are those of all pairs."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    raw = rng.normal(size=64) + rng.normal(scale=0.05, size=(1200, 64))
+    unit = (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
+    one, two = unit[:600], unit[600:]
+    graph, times = graphs.LayeredGraph(one, 1), rng.integers(1, 4, 600)
+    for queries, same in ((one, True), (two, False)):
+        close = queries @ one.T >= 0.98 - 1e-4
+        links = graphs._Links(times, times, same)
+        tracemalloc.start()
+        parts, _ = graphs.linked_parts(graph, queries, 0.98)
+        most = 0
+        for q, x in graphs._either_way(parts, 600) if same else parts:
+            most = max(most, len(q))
+            links.add(q, x)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert close.sum() > 300_000 and most <= 1 << 16
+        if same:
+            np.fill_diagonal(close, False)
+            assert (links.count == close @ times).all() and len(links.forest) == 599
+        else:
+            assert (links.count == np.concatenate([close @ times, times @ close])).all() and len(links.forest) == 1199
+        assert len(set(links.root.tolist())) == 1 and peak < 60e6
+
+
 def test_chat_keeps_maximal_conversations(spark):
     prepared(spark)
     turns = [("user", "hi"), ("assistant", "hello"), ("user", None), ("assistant", "")]
