@@ -70,7 +70,8 @@ def drop_repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     ``__n_lines`` and ``__n_removed``; ``n_chars`` follows the text if present.
 
     Null texts stay null and have no lines.  Texts of fewer than three lines
-    are never changed.  Rows that repeat both doc_id and text are one document
+    are never changed, and repeats of fewer than three consecutive lines remain,
+    whatever the lines' length.  Rows that repeat both doc_id and text are one document
     and are treated alike.  An empty table gives an empty result.
     """
     spans = covered_lines(docs, text)
