@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from gablework.llm import chat, factors, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes, toxicity
+from gablework.llm import (
+    alignment,
+    chat,
+    factors,
+    graphs,
+    language_models,
+    line_dedup,
+    minhash,
+    packing,
+    pieces,
+    quality_rules,
+    ranked_bytes,
+    toxicity,
+    whitening,
+)
 from gablework.llm.common import prepared, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +39,7 @@ def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/conversations.parquet")
 
 
-WORDS, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORDS, PIECES, BYTES = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def op1_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +84,18 @@ def op10_window_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_documents(spark, sf_dir))
 
 
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_halving_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(_documents(spark, sf_dir).select("doc_id", "text"), vocabulary(BYTES), vocabulary(PIECES))
+
+
+def op13_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_models.report(_documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -94,6 +120,9 @@ QUERIES: dict[str, Query] = {
         op8_layered_graphs,
         op9_ranked_byte_ids,
         op10_window_line_dedup,
+        op11_chebyshev_whitening,
+        op12_halving_alignment,
+        op13_kneser_ney_language,
         pipeline,
     )
 }
