@@ -16,13 +16,15 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 
-#: Rows of whole texts handed to Python at once: very long texts must fit.
-BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "500"
+#: Rows and bytes of whole texts handed to Python at once: one row of any length always fits.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session settings that the operators here rely on."""
-    configure(spark).conf.set(BATCH_KEY, BATCH_ROWS)
+    configure(spark)
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     return spark
 
 

@@ -108,14 +108,17 @@ def write(docs: DataFrame, path: str, vocab_path: str, end_id: int, text: str =
     rows = encoded.select("doc_id", "n", tokens.with_crc().alias("crc"), F.monotonically_increasing_id().alias("came"), "ids")
     coded = rows.mapInArrow(task, f"doc_id {kind}, n bigint, crc bigint, came bigint, control binary, data binary")
     order = [F.col("doc_id").asc_nulls_first(), F.col("crc"), F.col("came")]
-    sorted_rows = coded.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The ranges are found by a pass over the rows of their own: they are coded once, before it.
+    sorted_rows = staged_small(coded, "coded").repartitionByRange(*order).sortWithinPartitions(*order)
     shards = sorted_rows.select(F.spark_partition_id().alias("shard"), "doc_id", "n", "came", "control", "data")
     shards.write.option("compression", "zstd").parquet(f"{path}/sequences")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n, ids) read back; ``start`` counts all ids of earlier documents."""
-    vocabulary = spark.read.parquet(f"{path}/vocabulary").orderBy("rank").limit(MOST_IDS).toPandas()
+    vocabulary = spark.read.parquet(f"{path}/vocabulary").orderBy("rank").limit(MOST_IDS + 1).toPandas()
+    if len(vocabulary) > MOST_IDS:
+        raise ValueError(f"more than {MOST_IDS} distinct ids")
     id_of = vocabulary["id"].to_numpy(dtype=np.uint32)
     files = spark.read.parquet(f"{path}/sequences")
     kind = files.schema["doc_id"].dataType.simpleString()
@@ -130,8 +133,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return ordered.mapInArrow(task, f"shard int, doc_id {kind}, came bigint, n bigint, ids binary")
 
 
-def with_starts(rows: DataFrame) -> DataFrame:
-    """Replace ``shard`` and ``came`` by ``start``: running sums within shards, and one of the shard totals."""
+def with_starts(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Replace ``shard`` and ``came`` by ``start``: running sums within shards, and one of the shard totals.
+
+    The totals come from the files' own counts, without decoding anything.
+    """
     crc = [c for c in rows.columns if c == "ids_crc32"]
     within = (
         Window.partitionBy("shard")
@@ -141,7 +147,7 @@ def with_starts(rows: DataFrame) -> DataFrame:
     local = rows.withColumn("start", F.coalesce(F.sum("n").over(within), F.lit(0)))
     # One row per shard: as many as there are shuffle partitions.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy("shard").agg(F.sum("n").alias("total"))
+    totals = files.groupBy("shard").agg(F.sum("n").alias("total"))
     offsets = totals.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
     return local.join(F.broadcast(offsets), "shard").withColumn("start", F.col("start") + F.col("offset")).drop("offset", "shard", "came")
 
@@ -152,4 +158,5 @@ def report(docs: DataFrame, vocab_path: str, end_id: int = 2) -> DataFrame:
     write(docs.select("doc_id", "text"), path, vocab_path, end_id)
     rows = read(docs.sparkSession, path)
     summed = rows.select("shard", "doc_id", "came", "n", tokens.with_crc().alias("ids_crc32"))
-    return with_starts(summed).select("doc_id", "start", F.col("n").alias("n_tokens"), "ids_crc32")
+    files = docs.sparkSession.read.parquet(f"{path}/sequences").select("shard", "n")
+    return with_starts(summed, files).select("doc_id", "start", F.col("n").alias("n_tokens"), "ids_crc32")

@@ -3,104 +3,104 @@
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from gablework.llm.chunks import Found, Segments, before_and_total, binaries, gathered
 from gablework.llm.common import held, text_or_empty
 
-#: Words a worker process remembers, some 200 MB; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
 #: Words encoded by one call, with a mark in between.
 BUNDLE = 256
 MARK = "\x01"
 
-#: Characters whose lower case and whose split are the same here and in the tokenizer.
-UNCOMMON = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u024f]")
+#: Characters whose lower case and whose split are the same here and in the tokenizer; others make a text uncommon.
+UNCOMMON = r"[^\t\n\r\x{20}-\x{7e}\x{a1}-\x{12f}\x{131}-\x{24f}]"
 #: A comma or full stop at a word's end that belongs to a run of signs.
-RUN = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
+RUN = r"[^\pL\pN\s][.,][ \n]"
 
 
-def words_of(text: str) -> list[str]:
-    """Parts of a text whose ids, one after the other, are the text's.
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of the texts whose ids, one after the other, are the texts', and where each text's parts start.
 
     White space ends a token in any case.  In common text a final comma or full
     stop after a letter or digit is a token of its own, and case does not matter, so
     both are taken off: fewer distinct words are left to encode.
     """
-    if not UNCOMMON.search(text):
-        text = text.lower()
-        if not RUN.search(text):
-            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
-    return text.replace("\n", " ").split(" ")
+    low = pc.if_else(pc.match_substring_regex(texts, UNCOMMON), texts, pc.utf8_lower(texts))
+    whole = pc.or_(pc.match_substring_regex(texts, UNCOMMON), pc.match_substring_regex(low, RUN))
+    parted = low
+    for sign, apart in ((", ", " , "), (". ", " . "), (".\n", " .\n")):
+        parted = pc.replace_substring(parted, sign, apart)
+    lines = pc.replace_substring(pc.if_else(whole, low, parted), "\n", " ")
+    split = pc.split_pattern(lines, " ")
+    offsets = split.offsets.to_numpy()
+    return split.values.slice(offsets[0], offsets[-1] - offsets[0]), offsets - offsets[0]
 
 
 class WordEncoder:
-    """Ids of texts, each word encoded once as long as it is remembered.
+    """Ids of texts, each distinct word encoded once as long as it is remembered.
 
     The tokenizer drops white space and splits on it, so the ids of a text are
     those of its words in order.  New words are encoded in bundles with a mark
     between them, whose id shows where a word ends.
     """
 
-    def __init__(self, vocab_path: str, remembered: int = REMEMBERED):
+    def __init__(self, vocab_path: str, **memory: int):
         # One thread a task: the cores are Spark's to share out.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocab_path)
-        self.remembered = remembered
-        self.known: dict[str, bytes] = {}
         (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.words = Segments(self._segment, **memory)
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if MARK not in w]
-        bundles = [plain[i : i + BUNDLE] for i in range(0, len(plain), BUNDLE)]
+    def _segment(self, words: list[str]) -> Found:
+        """Ids of new words; one that holds the mark itself is encoded alone."""
+        marked = [i for i, w in enumerate(words) if MARK in w]
+        alone = {i: self.tokenizer.encode(words[i], add_special_tokens=False).ids for i in marked}
+        plain = ["" if i in alone else w for i, w in enumerate(words)] if alone else words
         between = f" {MARK} "
-        for bundle, found in zip(bundles, self.tokenizer.encode_batch_fast([between.join(b) for b in bundles], add_special_tokens=False)):
-            ids = np.array(found.ids, dtype="<u4")
-            packed, start = ids.tobytes(), 0
-            for word, end in zip(bundle, [*(4 * np.flatnonzero(ids == self.mark)).tolist(), len(packed)]):
-                self.known[word] = packed[start:end]
-                start = end + 4
-        for word in words:
-            if MARK in word:
-                self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text; the new words of some texts are learned together."""
-        step = 100
-        for i in range(0, len(texts), step):
-            listed = [words_of(t) for t in texts[i : i + step]]
-            words = set().union(*listed)
-            new = words.difference(self.known)
-            if len(self.known) + len(new) > self.remembered:
-                self.known, new = {}, words
-            if new:
-                self._learn(list(new))
-            for words in listed:
-                yield b"".join(map(self.known.__getitem__, words))
+        bundles = [between.join(plain[i : i + BUNDLE]) + between for i in range(0, len(plain), BUNDLE)]
+        found = self.tokenizer.encode_batch_fast(bundles, add_special_tokens=False)
+        ids = np.concatenate([np.array(f.ids, dtype=np.uint32) for f in found]) if found else np.zeros(0, dtype=np.uint32)
+        ends = np.flatnonzero(ids == self.mark)
+        counts = np.diff(ends, prepend=-1) - 1
+        ids = ids[ids != self.mark]
+        if alone:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for i, own in alone.items():
+                parts[i], counts[i] = np.array(own, dtype=np.uint32), len(own)
+            ids = np.concatenate(parts)
+        return ids, counts, np.ones(len(words), dtype=bool)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in order, and the number of ids of each."""
+        words, first = words_of(texts)
+        ((ids, counts, _),) = self.words.of(words.dictionary_encode())
+        return ids, np.diff(before_and_total(counts)[first])
 
 
 def encode(docs: DataFrame, vocab_path: str, end_id: int, text: str = "text") -> DataFrame:
     """(doc_id, n, ids): ids as little-endian unsigned 32-bit numbers, ``end_id`` last.
 
     One row per input row, in no special order.  A null or empty text has the
-    end id alone.  Rows never move; a worker holds one batch and a bounded
-    memory of words.
+    end id alone.  Rows never move; a worker holds some 4 MB of text, or one
+    longer text, with its ids, and a bounded memory of words.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches, 1):
             encoder = held(f"words {vocab_path}", lambda: WordEncoder(vocab_path))
-            ids = [x + end for x in encoder(batch.column(1).to_pylist())]
-            n = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array(ids, pa.binary())], names=["doc_id", "n", "ids"])
+            found, counts = encoder(batch.column(1))
+            ids = np.full(len(found) + len(counts), end_id, dtype="<u4")
+            ids[np.arange(len(found)) + np.repeat(np.arange(len(counts)), counts)] = found
+            n = counts + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), binaries(ids, before_and_total(n))], names=["doc_id", "n", "ids"])
 
     rows = docs.select("doc_id", text_or_empty(text).alias("text"))
     return rows.mapInArrow(task, f"doc_id {kind}, n bigint, ids binary")
