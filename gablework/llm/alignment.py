@@ -33,8 +33,8 @@ IRREGULAR = rf"  | $|{OTHER_SPACE} {OTHER_SPACE}|\x{{2581}}"
 SPACED = rf"^$|[ \x{{2581}}]|{OTHER_SPACE}"
 #: Ends on each side of the middle that the first bisection tries; each further one tries four times as many.
 NEAR = 1
-#: Words encoded together.
-BUNDLE = 256
+#: Words encoded together, and bytes of text in a block of documents.
+BUNDLE, BLOCK = 256, 1 << 20
 
 
 @cache
@@ -292,7 +292,7 @@ class Aligner:
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
     """Blocks of aligned documents: figures per document, and the block's distinct linked id pairs.
 
-    A block holds documents of about 4 MB of text, or one longer document.  For
+    A block holds documents of 1 to 2 MB of text, or one longer document.  For
     each of its id pairs (A id in the upper, B id in the lower 32 bits) it says how many
     of its documents hold it linked; for each document which pairs, and how often.
     """
@@ -308,7 +308,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        for number, batch in enumerate(gathered(batches, 1)):
+        for number, batch in enumerate(gathered(batches, 1, BLOCK)):
             aligner = held(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path))
             found = aligner(batch.column(1))
             # Places of pairs rise within a document: their steps are small and pack well.
@@ -356,7 +356,7 @@ def report(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     Null and empty texts, and texts whose tokens do not give their bytes back, have zeros
     and an empty digest.  Rows count one by one: repeated rows and rows with
     a null or shared doc_id are documents of their own.  Equal counts are all best.  Other columns are
-    ignored, an empty table gives no rows.  A worker holds 4 MB of text or one
+    ignored, an empty table gives no rows.  A worker holds 1 to 2 MB of text or one
     document, with its tokens.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts a worker remembers, and their characters; beyond either the memory starts anew.
-REMEMBERED, REMEMBERED_CHARS = 1_000_000, 16_000_000
+#: Parts a worker remembers, and their characters; beyond either it keeps those of the texts at hand.
+REMEMBERED, REMEMBERED_CHARS = 300_000, 8_000_000
 #: Bytes of text that are worked on together.
 TOGETHER = 4 << 20
 
@@ -66,13 +66,23 @@ class Segments:
     ):
         self.tokenizers = tokenizers
         self.remembered, self.remembered_chars = remembered, remembered_chars
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.shelves = [_Shelf() for _ in self.tokenizers]
 
+    def _keep(self, names: list[str], place: np.ndarray) -> np.ndarray:
+        """Forget all parts but those of ``names`` that are known; their new places."""
+        known = np.flatnonzero(place >= 0)
+        shelves = [_Shelf() for _ in self.tokenizers]
+        for new, old in zip(shelves, self.shelves):
+            new.add(0, *old.of(place[known]))
+        self.shelves = shelves
+        self.known = {names[i]: k for k, i in enumerate(known.tolist())}
+        self.chars = sum(map(len, self.known))
+        moved = np.full(len(names), -1, dtype=np.int64)
+        moved[known] = np.arange(len(known))
+        return moved
+
     def _learn(self, new: list[str]) -> None:
         first = len(self.known)
         for shelf, tokenizer in zip(self.shelves, self.tokenizers):
@@ -87,8 +97,7 @@ class Segments:
         place = np.fromiter([get(w, -1) for w in names], dtype=np.int64, count=len(names))
         new = np.flatnonzero(place < 0)
         if len(self.known) + len(new) > self.remembered or self.chars > self.remembered_chars:
-            self._forget()
-            new = np.arange(len(names))
+            place = self._keep(names, place)
         if len(new):
             place[new] = len(self.known) + np.arange(len(new))
             self._learn([names[i] for i in new.tolist()])
