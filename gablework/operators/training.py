@@ -5,7 +5,6 @@ from __future__ import annotations
 import itertools
 import math
 import random
-import re
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -14,13 +13,13 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gablework.functions.metrics import core_metrics, named
+from gablework.operators import forests
 from gablework.operators.features import NotFittedError, derive_features
 from gablework.operators.splits import below_share, digest, with_fold
 from gablework.roles import FEATURES_9, FEATURES_11, PRESETS
@@ -138,8 +137,8 @@ class TrainedModel:
         return self.ensemble.transform(self.prepare(df)).drop("features")
 
     def score_with_interval(self, df: DataFrame, width: float = 1.96) -> DataFrame:
-        """Prediction with the spread over the trees: mean and population deviation."""
-        return tree_interval(self.ensemble, self.prepare(df), width).drop("features")
+        """Prediction with the spread over the trees: their number, mean and population deviation."""
+        return forests.spread_of_trees(self.ensemble, self.prepare(df), width)
 
     def score_one(self, spark: SparkSession, **listing) -> float:
         """Score a single listing."""
@@ -183,63 +182,6 @@ def fit_dummy(features: Sequence[str] = FEATURES_9) -> TrainedModel:
     return TrainedModel(None, features)
 
 
-# --- interval from the trees -----------------------------------------------
-
-_LEAF = re.compile(r"Predict: (\S+)")
-
-
-def leaf_values(ensemble: Model) -> tuple[list[float], list[int]]:
-    """Predictions of all leaves, tree after tree, and where each tree starts.
-
-    Leaves come in the order Spark numbers them.  As large as the model, which
-    the driver holds anyway.
-    """
-    values: list[float] = []
-    starts: list[int] = []
-    for tree in ensemble.trees:
-        starts.append(len(values))
-        values += [float(v) for v in _LEAF.findall(tree.toDebugString)]
-    return values, starts
-
-
-def tree_interval(ensemble: Model, prepared: DataFrame, width: float = 1.96) -> DataFrame:
-    """Add prediction and its bounds from the spread of the single trees.
-
-    One transform gives the leaf each tree puts a row in; the leaf predictions
-    are a constant array, so the spread is an expression on that vector and no
-    tree is scored separately.
-    """
-    spark = prepared.sparkSession
-    values, starts = leaf_values(ensemble)
-    table = spark.createDataFrame([(values,)], "values array<double>")
-    placed = ensemble.copy().setLeafCol("_leaves").transform(prepared)
-    firsts = F.array(*[F.lit(s) for s in starts])
-    # A subquery may not stand inside a lambda, hence the column of its own.
-    with_values = placed.withColumn("_values", table.scalar()).withColumn(
-        "_votes",
-        F.transform(
-            F.arrays_zip(vector_to_array("_leaves").alias("leaf"), firsts.alias("first")),
-            lambda at: F.get("_values", (at["leaf"].cast("int") + at["first"])),
-        ),
-    )
-    n = float(len(starts))
-    mean = F.aggregate("_votes", F.lit(0.0), lambda acc, v: acc + v) / n
-    spread = F.sqrt(
-        F.aggregate("_votes", F.lit(0.0), lambda acc, v: acc + (v - F.col("_mean")) * (v - F.col("_mean"))) / n
-    )
-    return (
-        with_values.withColumn("_mean", mean)
-        .withColumn("tree_std", spread)
-        .withColumns(
-            {
-                "lower_bound": F.col("prediction") - F.col("tree_std") * width,
-                "upper_bound": F.col("prediction") + F.col("tree_std") * width,
-            }
-        )
-        .drop("_leaves", "_values", "_votes", "_mean")
-    )
-
-
 # --- search ----------------------------------------------------------------
 
 
@@ -329,6 +271,83 @@ def search(
     return SearchResult(model, candidates[at], float(scores[at]), table)
 
 
+def cells(candidates: Sequence[dict]) -> dict[tuple, list[int]]:
+    """Candidates that differ in the number of trees only: their other settings, and the places of all of them."""
+    found: dict[tuple, list[int]] = {}
+    for i, settings in enumerate(candidates):
+        rest = tuple(sorted(((k, v) for k, v in settings.items() if k != "n_estimators"), key=lambda pair: pair[0]))
+        found.setdefault(rest, []).append(i)
+    return found
+
+
+def search_nested(
+    df: DataFrame,
+    algorithm: str = "random_forest",
+    candidates: Sequence[dict] | None = None,
+    folds: int = 5,
+    validated: Sequence[int] | None = None,
+    features: Sequence[str] = FEATURES_9,
+    target: str = "price",
+    row_id: str = "listing_id",
+    parallelism: int = 4,
+) -> SearchResult:
+    """As :func:`search`, with one fit per fold for all candidates that differ in the number of trees only.
+
+    The largest ensemble of each such cell is fitted; its first trees are the
+    smaller ones.  For boosting they are exactly the ensembles that would be fitted
+    alone; for a forest they are forests of the same distribution.  ``validated``
+    names the folds to hold out, all by default.  ``table`` has a row per
+    candidate with its cell, the rows it was scored on and its error.
+    """
+    candidates = list(candidates or grid(algorithm))
+    found = cells(candidates)
+    prep = Pipeline(stages=preparation(features)).fit(derive_features(df))
+    prepared = with_fold(prep.transform(derive_features(df)), row_id, folds).select("features", target, "fold")
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def one(fold: int, places: list[int]) -> list[tuple]:
+        sizes = sorted({int(candidates[i]["n_estimators"]) for i in places})
+        largest = {**candidates[places[0]], "n_estimators": sizes[-1]}
+        fitted = make_estimator(algorithm, target, **largest).fit(prepared.where(F.col("fold") != fold))
+        held = prepared.where(F.col("fold") == fold)
+        row = forests.prefix_errors(fitted, held, target, sizes, algorithm == "random_forest").first()
+        return [(i, row["n"], row[f"mse_{int(candidates[i]['n_estimators'])}"]) for i in places]
+
+    try:
+        tasks = [
+            lambda f=fold, p=places: one(f, p) for fold in (range(folds) if validated is None else validated) for places in found.values()
+        ]
+        scored = _side_by_side(tasks, parallelism)
+        errors: dict[int, list[tuple[int, float]]] = {}
+        for i, n, mse in scored:
+            errors.setdefault(i, []).append((n, mse))
+        # Without a row in any held-out fold a candidate has no error and never wins.
+        means = [
+            sum(e for _, e in errors[i]) / len(errors[i]) if all(e is not None for _, e in errors[i]) else math.inf
+            for i in range(len(candidates))
+        ]
+        at = min(range(len(means)), key=means.__getitem__)
+        best = make_estimator(algorithm, target, **candidates[at]).fit(prepared)
+    finally:
+        prepared.unpersist()
+    cell_of = {i: c for c, places in enumerate(found.values()) for i in places}
+    rows = [
+        (
+            i,
+            ", ".join(f"{k}={v}" for k, v in sorted(settings.items())),
+            cell_of[i],
+            sum(n for n, _ in errors[i]),
+            math.sqrt(means[i]) if math.isfinite(means[i]) else None,
+            i == at,
+        )
+        for i, settings in enumerate(candidates)
+    ]
+    schema = "candidate int, settings string, cell int, scored_rows bigint, cv_rmse double, best boolean"
+    table = df.sparkSession.createDataFrame(rows, schema)
+    model = TrainedModel(PipelineModel(stages=[*prep.stages, best]), features)
+    return SearchResult(model, candidates[at], means[at], table)
+
+
 # --- cross-validation and learning curve -----------------------------------
 
 

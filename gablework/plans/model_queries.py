@@ -14,7 +14,7 @@ from gablework.operators import runs as X
 from gablework.operators import splits as L
 from gablework.operators import telemetry as R
 from gablework.operators import training as T
-from gablework.plans.data_queries import CORE_SQL, staged
+from gablework.plans.data_queries import CORE_SQL, TEST_SQL, staged
 from gablework.plans.listings import LISTINGS_SQL, SERVING_SQL, listings, serving_log, table, to_serving_log
 from gablework.plans.registry import register
 from gablework.roles import DISTRICT_FACTORS, EDGE_ROWS_WIDE, FEATURES_9, FEATURES_11, PRESETS, PRICE_WEIGHTS_V1
@@ -417,6 +417,61 @@ def _trial_search(spark, d):
 register("t5_trial_search", _trial_search)
 
 
+def _whole_grid(spark, d):
+    """All 81 combinations of the forest grid, trees and depths scaled down, on one held-out fold of three.
+
+    The 27 cells are fitted once each; the errors themselves depend on the fit, so the
+    table says which were scored, on how many rows, and whether the best is the least.
+    """
+    fit, _ = _parts(spark, d)
+    small = {
+        "n_estimators": [n // 50 for n in T.FOREST_GRID["n_estimators"]],
+        "max_depth": [4 if n == 10 else 6 if n == 20 else 7 for n in T.FOREST_GRID["max_depth"]],
+        "min_samples_leaf": T.FOREST_GRID["min_samples_leaf"],
+        "max_features": T.FOREST_GRID["max_features"],
+    }
+    table = T.search_nested(fit, "random_forest", T.grid("random_forest", small), folds=3, validated=[0]).table
+    least = table.agg(F.min("cv_rmse").alias("least")).select("least").scalar()
+    return table.select(
+        "candidate", "settings", "cell", "scored_rows", (F.col("cv_rmse") > 0).alias("scored"), (~F.col("best") | (F.col("cv_rmse") == least)).alias("ranked")
+    )
+
+
+_FOLD_SQL = "CAST('0x' || substr(md5(concat_ws('|', listing_id, '42')),1,8) AS BIGINT)"
+register(
+    "t4_whole_grid",
+    _whole_grid,
+    LISTINGS_SQL,
+    f"""SELECT CAST(27*n + 9*d + 3*l + f AS INT) AS candidate,
+  'max_depth=' || [4, 6, 7][d + 1] || ', max_features=' || ['sqrt', 'log2', 'None'][f + 1]
+  || ', min_samples_leaf=' || [1, 2, 4][l + 1] || ', n_estimators=' || [2, 4, 6][n + 1] AS settings,
+  CAST(9*d + 3*l + f AS INT) AS cell,
+  (SELECT count(*) FROM listings WHERE NOT ({TEST_SQL}) AND {_FOLD_SQL} % 3 = 0) AS scored_rows, true AS scored, true AS ranked
+  FROM range(3) a(n), range(3) b(d), range(3) c(l), range(3) e(f)""",
+)
+
+
+def _fifty_trials(spark, d):
+    """The whole budget of 50 seeded trials, trees and depths scaled down, on one held-out fold of three."""
+    fit, _ = _parts(spark, d)
+    trials = [
+        {**t, "n_estimators": t["n_estimators"] // 50, "max_depth": 4 if t["max_depth"] == 10 else 6} for t in T.draw_trials("random_forest", 50)
+    ]
+    table = T.search_nested(fit, "random_forest", trials, folds=3, validated=[0]).table
+    return table.groupBy("scored_rows").agg(
+        F.count("cv_rmse").alias("trials"), F.count_if("best").alias("winners"), (F.max_by("best", -F.col("cv_rmse"))).alias("least_wins")
+    )
+
+
+register(
+    "t5_fifty_trials",
+    _fifty_trials,
+    LISTINGS_SQL,
+    f"""SELECT count(*) AS scored_rows, CAST(50 AS BIGINT) AS trials, CAST(1 AS BIGINT) AS winners, true AS least_wins
+  FROM listings WHERE NOT ({TEST_SQL}) AND {_FOLD_SQL} % 3 = 0""",
+)
+
+
 def _search_choice(spark, d):
     """Which search each environment gets for the rows at hand."""
     rows = listings(spark, d).agg(F.count(F.lit(1)).alias("rows"))
@@ -472,6 +527,12 @@ def _single(spark, d):
 
 
 register("t10_single_record_scoring", _single)
+register(
+    "t10_single_equals_batch",
+    lambda spark, d: _single(spark, d).select("listing_id", "same"),
+    LISTINGS_SQL,
+    f"SELECT min(listing_id) AS listing_id, true AS same FROM listings WHERE {TEST_SQL}",
+)
 
 
 def _scoring_stream(spark, d):
@@ -523,6 +584,27 @@ def _tree_interval(spark, d):
 register("t12_tree_interval", _tree_interval)
 
 
+def _node_interval(spark, d):
+    """Bounds from the node table: every tree votes, their mean is the prediction, the bounds hold it."""
+    fit, test = _parts(spark, d)
+    scored = T.train(fit, **SMALL).score_with_interval(test)
+    half = (F.col("upper_bound") - F.col("lower_bound")) / 2
+    return scored.select(
+        "listing_id",
+        "n_trees",
+        (F.abs(F.col("tree_mean") - F.col("prediction")) < 1e-6 * F.col("prediction")).alias("mean_agrees"),
+        (F.abs(half - 1.96 * F.col("tree_std")) < 1e-6 * F.col("prediction")).alias("bounds_agree"),
+    )
+
+
+register(
+    "t12_node_interval",
+    _node_interval,
+    LISTINGS_SQL,
+    f"SELECT listing_id, CAST({SMALL['n_estimators']} AS BIGINT) AS n_trees, true AS mean_agrees, true AS bounds_agree FROM listings WHERE {TEST_SQL}",
+)
+
+
 def _saved_model(spark, d):
     """Largest difference between a model and its reloaded copy over the test rows."""
     fit, test = _parts(spark, d)
@@ -535,7 +617,12 @@ def _saved_model(spark, d):
     return a.join(b, "listing_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("a") - F.col("b"))).alias("largest"))
 
 
-register("t14_save_and_load", _saved_model)
+register(
+    "t14_save_and_load",
+    _saved_model,
+    LISTINGS_SQL,
+    f"SELECT count(*) AS n, 0e0 AS largest FROM listings WHERE {TEST_SQL}",
+)
 register(
     "t18_learning_curve",
     lambda spark, d: T.learning_curve(staged(spark, d), [0.1, 0.4, 1.0], k=2, n_estimators=5, max_depth=6),

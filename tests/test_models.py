@@ -111,3 +111,72 @@ def test_retrain_job(spark, sf_dir, forest):
     model, metrics = retrain(listings(spark, sf_dir), "development", n_estimators=5, max_depth=7)
     row = metrics.first()
     assert row["passed"] and row["r2"] > 0.7 and model.features == forest.features
+
+
+def test_prefix_is_the_forest_of_its_trees(spark, parts):
+    """Errors of the first trees against those trees scored one by one; boosting against a shorter fit."""
+    from gablework.operators import forests
+
+    fit, test = parts
+    few = test.orderBy("listing_id").limit(300)
+    for name, averaged in (("random_forest", True), ("gradient_boosting", False)):
+        model = T.train(fit, name, n_estimators=6, max_depth=4)
+        prepared = stage(model.prepare(few).select("listing_id", "features", "price"))
+        got = forests.prefix_errors(model.ensemble, prepared, "price", [1, 3, 6], averaged).first()
+        weights = model.ensemble.treeWeights
+        said = [
+            {r["listing_id"]: r["prediction"] for r in tree.transform(prepared).select("listing_id", "prediction").collect()}
+            for tree in model.ensemble.trees
+        ]
+        price = {r["listing_id"]: r["price"] for r in prepared.collect()}
+        for size in (1, 3, 6):
+            scale = size if averaged else 1
+            errors = [(p - sum(w * s[i] for w, s in list(zip(weights, said))[:size]) / scale) ** 2 for i, p in price.items()]
+            assert got[f"mse_{size}"] == pytest.approx(sum(errors) / len(errors))
+        if not averaged:
+            short = T.train(fit, name, n_estimators=3, max_depth=4)
+            mse = E.evaluate(short.score(few), predicted="prediction").first()["mse"]
+            assert got["mse_3"] == pytest.approx(mse)
+
+
+def test_nested_search_equals_search_for_boosting(parts):
+    fit = parts[0].where(L.below_share(F.md5("listing_id"), 0.2))
+    candidates = [{"n_estimators": n, "max_depth": d} for n in (2, 4) for d in (2, 3)]
+    nested = T.search_nested(fit, "gradient_boosting", candidates, folds=2)
+    plain = T.search(fit, "gradient_boosting", candidates, folds=2)
+    assert nested.best == plain.best and nested.best_mse == pytest.approx(plain.best_mse)
+    a = {r["candidate"]: r["cv_rmse"] for r in nested.table.collect()}
+    assert a == pytest.approx({r["candidate"]: r["cv_rmse"] for r in plain.table.collect()})
+    assert {r["cell"] for r in nested.table.collect()} == {0, 1}
+    assert nested.model.score(fit).count() == plain.model.score(fit).count()
+
+
+def test_grid_falls_into_cells():
+    candidates = T.grid("random_forest")
+    found = T.cells(candidates)
+    assert len(candidates) == 81 and len(found) == 27 and {len(p) for p in found.values()} == {3}
+    assert len(T.cells(T.grid("gradient_boosting"))) == 27
+
+
+def test_importance_from_nodes(forest):
+    from gablework.operators import forests
+
+    found = {r["feature"]: r["importance"] for r in forests.importance(forests.node_table(forest.ensemble)).collect()}
+    wanted = forest.ensemble.featureImportances.toArray()
+    assert found == pytest.approx({i: w for i, w in enumerate(wanted) if w > 0})
+
+
+def test_deep_forest_has_its_votes_from_the_table(spark, parts):
+    """Depth 30: far more leaves than the driver should hold, and the same bounds as from the single trees."""
+    model = T.train(parts[0], n_estimators=8, max_depth=30, min_samples_leaf=1)
+    few = parts[1].orderBy("listing_id").limit(25)
+    prepared = model.prepare(few)
+    said = {}
+    for tree in model.ensemble.trees:
+        for r in tree.transform(prepared).select("listing_id", "prediction").collect():
+            said.setdefault(r["listing_id"], []).append(r["prediction"])
+    for r in model.score_with_interval(few).collect():
+        v = said[r["listing_id"]]
+        mean = sum(v) / len(v)
+        assert r["n_trees"] == 8 and r["tree_mean"] == pytest.approx(mean)
+        assert r["tree_std"] == pytest.approx((sum((x - mean) ** 2 for x in v) / len(v)) ** 0.5, abs=1e-6)
