@@ -10,7 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gablework.operators.ranking import smallest_hash_cut
+from gablework.functions.columns import broadcast_if_small
+from gablework.operators.ranking import cumulate, smallest_hash_cut
+from gablework.session import stage
 
 
 def digest(row_id: str | Column, salt: str | int = 42) -> Column:
@@ -82,6 +84,42 @@ def with_fold(df: DataFrame, row_id: str, k: int = 5, salt: str | int = 42, colu
     return df.withColumn(column, F.pmod(number, F.lit(k)).cast("int"))
 
 
+def with_positions(scan: DataFrame, column: str = "position") -> tuple[DataFrame, int]:
+    """Number the rows of a parquet scan from 0 in the order of file name and place in the file; and their count.
+
+    The place in a file is known to the reader, and the files' row counts are
+    summed up range by range: rows are neither sorted nor moved.  ``scan``
+    must be a plain read of parquet files.
+    """
+    placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    # A row per file that holds rows.
+    files = stage(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")), "files")
+    starts = stage(
+        cumulate(files, "_file", ["_rows"]).select("_file", (F.col("cum__rows") - F.col("_rows")).alias("_start")), "file-starts"
+    )
+    total = files.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()["n"]
+    numbered = placed.join(broadcast_if_small(starts, starts), "_file")
+    return numbered.withColumn(column, F.col("_start") + F.col("_place")).drop("_file", "_place", "_start"), int(total)
+
+
+def with_contiguous_fold(scan: DataFrame, k: int = 5, column: str = "fold") -> DataFrame:
+    """Add a fold number 0..k-1: consecutive rows, the first ``n % k`` folds one row longer than the others.
+
+    For a plain read of parquet files, in the order of :func:`with_positions`.
+    """
+    if k < 2:
+        raise ValueError("at least two folds are needed")
+    numbered, n = with_positions(scan, "_position")
+    if n < k:
+        raise ValueError(f"{k} folds of {n} rows")
+    size, longer = divmod(n, k)
+    at = F.col("_position")
+    in_longer = F.floor(at / F.lit(size + 1))
+    after = F.lit(longer) + F.floor((at - F.lit(longer * (size + 1))) / F.lit(size))
+    fold = F.when(at < longer * (size + 1), in_longer).otherwise(after)
+    return numbered.withColumn(column, fold.cast("int")).drop("_position")
+
+
 def nested_samples(
     df: DataFrame, row_id: str, fractions: Sequence[float] | None = None, salt: str | int = 42
 ) -> DataFrame:

@@ -30,6 +30,7 @@ from gablework.roles import (
 )
 from gablework.session import scratch_path, stage
 from gablework.sources import logs, reports, tables
+from gablework.sources.manifest import Store
 
 RAW = ["area", "bedrooms", "bathrooms", "age_years", "has_garage", "district", "price"]
 NUMERIC = ["area", "bedrooms", "bathrooms", "age_years", "has_garage", "price"]
@@ -256,6 +257,34 @@ register(
 )
 
 
+def _versions(spark, d):
+    """Orders committed by year; a failed writer, a replaced version and pruning leave what readers should see."""
+    store = Store(spark, scratch_path(spark, "versions"))
+    orders = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    for i, year in enumerate((1995, 1996, 1997)):
+        store.append(orders.where(F.col("year") == year), now=float(i))
+    store.write_set(orders)  # never committed
+    store.replace(orders.where("year >= 1998"), now=3.0)
+    store.append(orders.where("year = 1995"), now=4.0)
+    store.prune(versions=2, grace_days=0.0)
+    # The year 1996 is in pruned versions only.
+    newest, before = store.read(), store.read(4)
+    return newest.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total")).withColumn(
+        "before", before.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    )
+
+
+register(
+    "s11_versions",
+    _versions,
+    None,
+    """SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS n, sum(o_totalprice) AS total,
+  (SELECT count(*) FROM orders WHERE year(o_orderdate) >= 1998) AS before
+  FROM orders WHERE year(o_orderdate) >= 1998 OR year(o_orderdate) = 1995 GROUP BY 1""",
+    total=2,
+)
+
+
 def _retention_days(spark, d):
     orders = table(spark, d, "orders")
     newest = scalar(orders.agg(F.max("o_orderdate").cast("date").alias("day")), "day")
@@ -730,6 +759,15 @@ register(
     """SELECT listing_id, CAST(CAST('0x' || substr(md5(concat_ws('|', listing_id, '42')),1,8) AS BIGINT) % 5 AS INT) AS fold
   FROM listings""",
 )
+register(
+    "l4_contiguous_folds",
+    lambda spark, d: L.with_contiguous_fold(spark.read.parquet(f"{d}/orders.parquet"), 7).select("o_orderkey", "fold"),
+    None,
+    # The orders lie in the order of their keys.
+    """SELECT o_orderkey, CAST(CASE WHEN p < (n % 7) * (n // 7 + 1) THEN p // (n // 7 + 1)
+  ELSE n % 7 + (p - (n % 7) * (n // 7 + 1)) // (n // 7) END AS INT) AS fold
+  FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS p, count(*) OVER () AS n FROM orders)""",
+)
 _FRACTIONS = [f"{int(round(i / 10 * 16**8)):08x}" for i in range(1, 10)]
 register(
     "l5_nested_samples",

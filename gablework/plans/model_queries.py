@@ -20,7 +20,9 @@ from gablework.plans.registry import register
 from gablework.roles import DISTRICT_FACTORS, EDGE_ROWS_WIDE, FEATURES_9, FEATURES_11, PRESETS, PRICE_WEIGHTS_V1
 from gablework.session import scratch_path, stage
 from gablework.sources import runs as run_store
+from gablework.streaming import abort as abort_stream
 from gablework.streaming import drift as drift_stream
+from gablework.streaming import performance as performance_stream
 from gablework.streaming import scoring as scoring_stream
 from gablework.streaming import telemetry as stream
 
@@ -128,6 +130,35 @@ register(
     ks_statistic=8,
     p_value=8,
 )
+
+
+def _sketch_stream(spark, d):
+    """Three batches merged into one sketch; its statistic against the exact one of all rows."""
+    folder = scratch_path(spark, "incoming")
+    rows = staged(spark, d)
+    reference, current = (rows.where(f"has_garage = {i}").select(*WATCHED) for i in (1, 0))
+    current.repartition(3).write.parquet(folder)
+    out, checkpoint = scratch_path(spark, "sketches"), scratch_path(spark, "sketch-state")
+    incoming = stream.read_stream(spark, folder, maxFilesPerTrigger=1)
+    drift_stream.start_sketch_monitor(reference, incoming, WATCHED, out, checkpoint, None).awaitTermination()
+    tests = spark.read.parquet(f"{out}/tests").drop("batch_id")
+    newest = tests.agg(F.max("batch").alias("b")).select("b").scalar()
+    exact = D.ks_drift(_samples(rows), WATCHED).select("column", F.col("ks_statistic").alias("exact"))
+    # One row per column.
+    return tests.where(F.col("batch") == newest).join(F.broadcast(exact), "column").select(
+        "column",
+        "reference_rows",
+        "current_rows",
+        (F.abs(F.col("ks_statistic") - F.col("exact")) <= F.col("error_bound")).alias("within_bound"),
+    )
+
+
+register(
+    "d6_sketch_monitor_stream",
+    _sketch_stream,
+    KS_SQL,
+    'SELECT "column", reference_rows, current_rows, true AS within_bound FROM tested',
+)
 PERFORMANCE_SQL = """SELECT *, coalesce("drop" > 0.05e0, false) AS drifted FROM (SELECT *, (baseline_r2 - r2)/baseline_r2 AS "drop" FROM
   (SELECT strftime(listed_on, '%Y') AS period, count(*) AS n,
    1e0 - sum((price-predicted)*(price-predicted))/(count(*)*var_pop(price)) AS r2 FROM listings GROUP BY 1),
@@ -145,6 +176,37 @@ register(
 )
 
 
+def _late_prices(spark, d):
+    """Predictions at listing time, prices 0 to 15 days later; those over 10 days late are not waited for.
+
+    Shown are windows that are closed whatever the order of files: those that start
+    before 1997.
+    """
+    rows = staged(spark, d)
+    sold = F.col("listed_on").cast("timestamp") + F.make_dt_interval(F.conv(F.substring("listing_id", 1, 1), 16, 10).cast("int"))
+    left, right = scratch_path(spark, "predictions"), scratch_path(spark, "prices")
+    rows.select("listing_id", "predicted", F.col("listed_on").cast("timestamp").alias("predicted_at")).write.parquet(left)
+    rows.select("listing_id", "price", sold.alias("sold_at")).write.parquet(right)
+    joined = performance_stream.joined_late(stream.read_stream(spark, left), stream.read_stream(spark, right), "listing_id")
+    out, state = scratch_path(spark, "late"), scratch_path(spark, "late-state")
+    stream.run_once(performance_stream.windowed_fit(joined), out, state)
+    return _text_time(spark.read.parquet(out).where("window_start < '1997-01-01'"), "window_start")
+
+
+register(
+    "d7_late_prices_stream",
+    _late_prices,
+    LISTINGS_SQL
+    + """, late AS (SELECT *, time_bucket(INTERVAL '90 days', CAST(listed_on AS TIMESTAMP), TIMESTAMP '1970-01-01') AS w FROM listings
+  WHERE CAST('0x' || substr(listing_id,1,1) AS INT) <= 10)""",
+    """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+  1e0 - sum((price-predicted)*(price-predicted))/(count(*)*var_pop(price)) AS r2,
+  sqrt(sum((price-predicted)*(price-predicted))/count(*)) AS rmse FROM late WHERE w < TIMESTAMP '1997-01-01' GROUP BY w""",
+    r2=7,
+    rmse=3,
+)
+
+
 def _retrain_rules(spark, d):
     """Newest year against all rows: R2, share of drifted columns, age of the model."""
     rows = staged(spark, d)
@@ -222,6 +284,23 @@ register(
     """SELECT strftime(min(window_start), '%Y-%m-%d %H:%M:%S') AS abort_at, count(*) AS bad_windows
   FROM windows WHERE variant = 'canary' AND error_rate > 0.01e0""",
 )
+
+
+def _abort_stream(spark, d):
+    out, state = scratch_path(spark, "aborts"), scratch_path(spark, "abort-state")
+    abort_stream.run_aborts(_request_stream(spark, d), out, state)
+    return _text_time(spark.read.schema(abort_stream.ABORT_DDL).parquet(out).select("variant", "abort_at", "requests"), "abort_at")
+
+
+register(
+    "r3_canary_abort_stream",
+    _abort_stream,
+    SERVING_SQL + ", " + _window_sql("30 seconds"),
+    """SELECT variant, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS abort_at, requests FROM windows
+  WHERE variant = 'canary' AND error_rate > 0.01e0
+   AND window_start + INTERVAL 30 SECOND <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM serving)
+  ORDER BY window_start LIMIT 1""",
+)
 register(
     "r4_canary_decision",
     lambda spark, d: R.canary_decision(R.windowed_rates(serving_log(spark, d), "1 hour")),

@@ -70,6 +70,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` and its write came to an end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over all cores when it comes in fewer pieces than that.
 

@@ -15,14 +15,14 @@ from gablework.sources.logs import audited
 LATE = "1 hour"
 
 
-def read_stream(spark: SparkSession, path: str) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, **options) -> DataFrame:
     """A parquet table as a stream of its files, with the schema it has now.
 
     The stream source takes a plain path for a folder.  Given as a pattern that
     only matches itself, the path may be a single file as well.
     """
     pattern = path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(pattern)
+    return spark.readStream.options(**options).schema(spark.read.parquet(path).schema).parquet(pattern)
 
 
 def with_event_time(df: DataFrame, column: str = "ts", late: str = LATE) -> DataFrame:
