@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gablework.llm.common import components, staged_small, text_or_empty
 from gablework.session import stage
@@ -370,8 +370,8 @@ def _across(open_members: DataFrame, texts: DataFrame, weights: Weights) -> Data
     return ready.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a bigint, b bigint")
 
 
-def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
-    """Connected components (node, component) over all similar pairs that share a bucket.
+def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weights, given: DataFrame) -> DataFrame:
+    """Connected components (node, component) over all similar pairs that share a bucket, and the links given.
 
     ``members`` is (bucket, band, node), ``bands`` (node, bands).  First each bucket's
     members are compared with its smallest node.  Where its other members are
@@ -381,7 +381,7 @@ def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weigh
     centres = stage(members.groupBy("bucket").agg(F.min("node").alias("centre")), "centres")
     spokes = stage(members.join(centres, "bucket").where("node <> centre"), "spokes")
     star = spokes.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    edges = stage(verified(stage(star, "pairs"), texts, weights), "links")
+    edges = stage(verified(stage(star, "pairs"), texts, weights).unionByName(given), "links")
     found = components(edges)
     labelled = stage(spokes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("centre"), "spokes")
     mixed = labelled.groupBy("bucket").agg(
@@ -395,15 +395,53 @@ def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weigh
     return found if more.isEmpty() else components(edges.unionByName(more))
 
 
+def _hash_name(h1: Column) -> Column:
+    """A name from a text's hash, above all doc_ids, so that a class with a doc_id is never named by it."""
+    return h1.bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+
+
+def _own_name() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), _hash_name(F.col("h1")))
+
+
+def _nodes(signed: DataFrame) -> DataFrame:
+    """(h1, h2, name, node, bands): a node per distinct text.
+
+    ``name`` is the smallest doc_id that has the text and is its node; of several texts with
+    one such doc_id the others have a node from their hash.
+    """
+    texts = stage(
+        signed.groupBy("h1", "h2").agg(F.min(_own_name()).alias("name"), F.first("bands").alias("bands")),
+        "nodes",
+    )
+    crowded = texts.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h1", "h2")).alias("first"))
+    crowded = stage(crowded.where("n > 1").drop("n"), "crowded")
+    if crowded.isEmpty():
+        return texts.withColumn("node", F.col("name"))
+    found = texts.join(crowded.hint("merge"), "name", "left")
+    own = F.col("first").isNull() | (F.col("first") == F.struct("h1", "h2"))
+    return stage(found.withColumn("node", F.when(own, F.col("name")).otherwise(_hash_name(F.col("h1")))).drop("first"), "nodes")
+
+
+def _same_document(signed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the texts of one doc_id."""
+    several = signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min(F.struct("h1", "h2")).alias("least"), F.max(F.struct("h1", "h2")).alias("most")
+    )
+    several = stage(several.where("least <> most").select("doc_id"), "several")
+    if several.isEmpty():
+        return signed.sparkSession.createDataFrame([], "a bigint, b bigint")
+    named = signed.join(several.hint("merge"), "doc_id").join(nodes.select("h1", "h2", "node").hint("merge"), ["h1", "h2"])
+    pairs = stage(named.select("doc_id", "node").distinct(), "several")
+    least = pairs.groupBy("doc_id").agg(F.min("node").alias("b"))
+    return pairs.join(least, "doc_id").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def _classified(docs: DataFrame, text: str) -> DataFrame:
     """(doc_id, h1, h2, node, class_id) of every row; a node is a distinct text."""
     weights = corpus_weights(docs, text)
     signed = stage(signatures(docs, weights, text), "signatures")
-    own = F.coalesce(F.col("doc_id").cast("long"), F.col("h1"))
-    nodes = stage(
-        signed.groupBy("h1", "h2").agg(F.coalesce(F.min(F.col("doc_id").cast("long")), F.col("h1")).alias("node"), F.first("bands").alias("bands")),
-        "nodes",
-    )
+    nodes = _nodes(signed)
     # Bands by tf-idf and by tf share their buckets: a text whose weights are all 1 is in each once.
     band_and_bucket = F.transform("bands", lambda key, i: F.struct((i % BANDS).alias("band"), F.xxhash64(i % BANDS, key).alias("bucket")))
     keyed = nodes.select("node", F.inline(F.array_distinct(band_and_bucket)))
@@ -412,10 +450,12 @@ def _classified(docs: DataFrame, text: str) -> DataFrame:
     wanted = stage(members.select("node").distinct().join(nodes, "node"), "wanted")
     body = text_or_empty(text)
     rows = docs.select("doc_id", body.alias("text"), F.xxhash64(body).alias("h1"), F.xxhash64(F.lit(7), body).alias("h2"))
+    # Of all rows with a text, those of the doc_id that names it give it: copies stay where they are.
     # The texts wanted grow with the corpus: never a broadcast, also where they are few.
-    ids = wanted.select("node", "h1", "h2").hint("merge")
-    texts = staged_small(rows.withColumn("node", own).join(ids, ["node", "h1", "h2"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
-    found = links(members, wanted.select("node", "bands"), texts, weights)
+    ids = wanted.select("name", "node", "h1", "h2").hint("merge")
+    named_rows = rows.withColumn("name", _own_name()).join(ids, ["name", "h1", "h2"])
+    texts = staged_small(named_rows.groupBy("node").agg(F.max("text").alias("text")), "texts")
+    found = links(members, wanted.select("node", "bands"), texts, weights, _same_document(signed, nodes))
     named = stage(nodes.join(found, "node", "left").select("h1", "h2", "node", F.coalesce("component", "node").alias("class_id")), "classes")
     return signed.drop("bands").join(named, ["h1", "h2"])
 
@@ -427,16 +467,16 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     node from the start, so a group of copies costs one comparison.  Texts
     without words, null ones included, are linked with equal texts only.  Texts of
     one to four words are one shingle.  Rows that share a doc_id are one
-    document.  A null doc_id is linked like others; a class of none but nulls has
-    a hash as its name.  Other columns are ignored; no rows give no rows.
+    document: their texts are linked whatever they say.  A null doc_id is linked
+    like others; a class of none but nulls has a hash as its name.  Texts of any
+    length are compared whole.  Other columns are ignored; no rows give no rows.
     """
     return _classified(docs, text).select("doc_id", "class_id", _stays().alias("kept"))
 
 
-def _stays():
+def _stays() -> Column:
     """Whether a row is the one its class keeps."""
-    own = F.coalesce(F.col("doc_id").cast("long"), F.col("h1"))
-    return (F.col("node") == F.col("class_id")) & (own == F.col("node"))
+    return (F.col("node") == F.col("class_id")) & (_own_name() == F.col("node"))
 
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:

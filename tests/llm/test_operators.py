@@ -169,6 +169,23 @@ def test_minhash_finds_copies_and_leaves_others(docs, nothing):
     assert minhash.classes(nothing).count() == 0 and minhash.keep_one(nothing).count() == 0
 
 
+def test_minhash_documents_with_several_texts(spark):
+    """Texts are the nodes; a doc_id with several of them links them all."""
+    prepared(spark)
+    a, b, c = prose(70000, 120), prose(80000, 120), prose(90000, 120)
+    near = {t: t.replace(t.split()[50], "changed") for t in (a, b, c)}
+    rows = [(1, a), (1, b), (2, near[a]), (3, near[b]), (4, c), (None, near[c]), (5, a), (5, prose(95000, 60)), (6, prose(95000, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.classes(docs).collect()
+    assert {(r["doc_id"], r["class_id"]) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 4), (None, 4), (5, 1), (6, 1)}
+    kept = sorted((r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect())
+    assert [i for i, _ in kept] == [1, 4] and kept[0][1] in (a, b)
+    # The case with two texts under one id, and nothing else in common.
+    small = spark.createDataFrame([(1, a), (1, b), (2, near[a]), (3, near[b])], "doc_id long, text string")
+    assert {r["class_id"] for r in minhash.classes(small).collect()} == {1}
+    assert minhash.keep_one(small).count() == 1
+
+
 def test_minhash_group_with_many_texts(spark):
     """Copies of one text with other single words each, in one group, and texts that share a passage only."""
     prepared(spark)
