@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from gablework.functions.columns import num, ratio, scalar, scalars, tally, tidy
+from gablework.functions.columns import num, ratio, scalar, scalars, tally, tidy, to_long
 from gablework.functions.stats import normal_quantile
 from gablework.operators.ranking import (
     cumulate,
@@ -24,14 +24,10 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Two passes, one for the moments and one for the exact quartiles; pass a
     staged frame when the input is a join.
     """
-    values = df.select(*[tidy(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    # One wide row: the input is neither multiplied by the columns nor moved.
+    wide = df.agg(*[f(tidy(c)).alias(f"{name}_{c}") for c in columns for name, f in measures.items()])
+    moments = to_long(wide, list(columns), {name: f"{name}_{{}}" for name in measures})
     cuts = quantiles(df, columns, [0.25, 0.5, 0.75]).drop("n")
     # Both sides have one row per column named.
     return moments.join(F.broadcast(cuts), "column", "left")
