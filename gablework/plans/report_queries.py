@@ -815,13 +815,23 @@ def _edges(spark, d, rows=EDGE_ROWS_WIDE):
     The districts and the band come from the listings; the rule price scores.
     """
     data = staged(spark, d)
-    # As many rows as districts; joined on equal keys with the few edge rows.
-    places = data.select(F.col("district")).distinct().withColumn("k", F.lit(1))
-    edges = B.edge_frame(data, rows).drop("district").withColumn("k", F.lit(1))
-    half = data.agg((F.stddev_samp(F.col("price") - F.col("predicted")) * 1.96).alias("h")).select("h").scalar()
-    scored = places.join(F.broadcast(edges), "k").withColumn(
-        "prediction", P.rule_price(PRICE_WEIGHTS_V1, DISTRICT_FACTORS, floor=50_000)
+    cases = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("case_name"),
+                F.lit(float(area)).alias("area"),
+                F.lit(bedrooms).alias("bedrooms"),
+                F.lit(bathrooms).alias("bathrooms"),
+                F.lit(float(age)).alias("age_years"),
+                F.lit(garage).alias("has_garage"),
+            )
+            for name, area, bedrooms, bathrooms, age, garage in rows
+        ]
     )
+    # As many rows as districts, each with the few cases.
+    edges = data.select("district").distinct().select("district", F.inline(cases))
+    half = data.agg((F.stddev_samp(F.col("price") - F.col("predicted")) * 1.96).alias("h")).select("h").scalar()
+    scored = edges.withColumn("prediction", P.rule_price(PRICE_WEIGHTS_V1, DISTRICT_FACTORS, floor=50_000))
     return scored.select(
         "case_name",
         "district",
