@@ -29,8 +29,9 @@ from gablework.roles import (
     THREE_RULES,
 )
 from gablework.session import scratch_path, stage
-from gablework.sources import logs, reports, tables
+from gablework.sources import logs, reports, tables, tail
 from gablework.sources.manifest import Store
+from gablework.streaming.telemetry import run_once
 
 RAW = ["area", "bedrooms", "bathrooms", "age_years", "has_garage", "district", "price"]
 NUMERIC = ["area", "bedrooms", "bathrooms", "age_years", "has_garage", "price"]
@@ -166,6 +167,35 @@ register(
 )
 
 
+def _tailed_log(spark, d):
+    """The log as lines of growing files, in two runs of one stream; no line comes twice."""
+    folder, out, state = (scratch_path(spark, n) for n in ("tail", "tail-out", "tail-state"))
+    log = serving_log(spark, d).select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("timestamp"),
+        F.when(F.col("is_error") == 1, "ERROR").otherwise("INFO").alias("level"),
+        F.col("user_id").cast("string").alias("client"),
+        "variant",
+        "response_time",
+        "is_error",
+    )
+    for arm in ("canary", "stable"):
+        log.where(F.col("variant") == arm).write.mode("append").json(folder)
+        run_once(tail.tail_json_lines(spark, folder, pattern="*.json"), out, state)
+    return spark.read.parquet(out).groupBy("level", "variant", F.date_format("ts", "yyyy-MM-dd HH").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("response_time").alias("slowest")
+    )
+
+
+register(
+    "s6_tailed_log_stream",
+    _tailed_log,
+    SERVING_SQL,
+    """SELECT CASE WHEN is_error = 1 THEN 'ERROR' ELSE 'INFO' END AS level, variant, strftime(ts, '%Y-%m-%d %H') AS hour,
+  count(*) AS n, max(response_time) AS slowest FROM serving GROUP BY ALL""",
+    slowest=6,
+)
+
+
 def _csv_sink(spark, d):
     path = scratch_path(spark, "csv-sink")
     tables.write_csv(Q.clean_by_rules(listings(spark, d), RANGE_RULES).select("listing_id", "bedrooms", "district"), path)

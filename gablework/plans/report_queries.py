@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gablework.functions.columns import ratio
+from gablework.functions.columns import ratio, to_long
 from gablework.functions.metrics import core_metrics, named, r2, rmse
 from gablework.operators import evaluate as E
 from gablework.operators import features as P
 from gablework.operators import gates as G
+from gablework.operators import increments as I
 from gablework.operators import profile as A
 from gablework.operators import quality as Q
 from gablework.operators import robustness as B
@@ -26,7 +27,8 @@ from gablework.roles import (
     QUALITY_GATES,
     RANGE_RULES,
 )
-from gablework.session import stage
+from gablework.session import scratch_path, stage
+from gablework.sources.manifest import Store
 
 # --- flagship --------------------------------------------------------------
 
@@ -80,6 +82,52 @@ register(
     p50=4,
     p75=4,
 )
+
+
+def _merged_profile(spark, d) -> DataFrame:
+    """Folders per district profiled in two runs, the second without the first one's folders; merged from states.
+
+    Quartiles are shown by whether their exact rank lies within the stated bound.
+    """
+    rows, root = stage(gappy_listings(spark, d)), scratch_path(spark, "folders")
+    place = F.coalesce("district", F.lit("none"))
+    rows.select(*NUMERIC, place.alias("place")).write.partitionBy("place").parquet(root)
+    # A handful of districts.
+    folders = sorted(f"{root}/place={r[0]}" for r in rows.select(place).distinct().collect())
+    store = Store(spark, scratch_path(spark, "profiles"))
+    for known in (folders[:2], folders):
+        I.add_folders(store, known, NUMERIC)
+    merged = stage(I.merged_profile(store.read()), "merged")
+    # One row per column; its quartiles steer the second pass as literals.
+    cuts = {r["column"]: r for r in merged.collect()}
+    ranks = rows.agg(
+        *[
+            F.struct(F.avg((F.col(c) < cuts[c][q]).cast("int")).alias("below"), F.avg((F.col(c) <= cuts[c][q]).cast("int")).alias("upto")).alias(f"{q}_{c}")
+            for c in NUMERIC
+            for q in I.QUARTILES
+        ]
+    )
+    long = to_long(ranks, list(NUMERIC), {q: f"{q}_{{}}" for q in I.QUARTILES})
+    near = F.lit(True)
+    for q, p in I.QUARTILES.items():
+        near = near & (F.col(f"{q}.below") - I.rank_error() <= p) & (F.col(f"{q}.upto") + I.rank_error() >= p)
+    return merged.select("column", "count", "mean", "std", "min", "max").join(
+        F.broadcast(long.select("column", near.alias("quartiles_within_bound"))), "column"
+    )
+
+
+register(
+    "a1_merged_profile",
+    _merged_profile,
+    GAPPY_SQL,
+    'SELECT "column", "count", mean, std, min, max, true AS quartiles_within_bound FROM ('
+    + " UNION ALL ".join(_describe_sql(c) for c in NUMERIC)
+    + ")",
+    mean=4,
+    std=4,
+    min=4,
+    max=4,
+)
 register(
     "a2_shape_report",
     lambda spark, d: A.shape_report(listings(spark, d).select(*RAW)),
