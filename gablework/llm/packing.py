@@ -2,95 +2,213 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gablework.llm import tokens
-from gablework.llm.common import running_sums, staged_small
+from gablework.llm.common import partitions, running_sums, staged_small
 
 #: Context sizes, long to short: powers of two, each half of the one before.
 TIERS = (2048, 1024, 512, 256)
-#: Shares of a window that may be left for filling; the first that tails can fill is taken.
-SLACKS = (1 / 8, 1 / 16, 1 / 32, 1 / 64, 0.0)
 #: Tokens of a training step.
 STEP_TOKENS = 1 << 16
+#: Documents of one length are set apart for filling by so many hash cells.
+CELLS = 64
+#: Lengths and arrival ranks share one number: the rank has so many bits.
+RANK_BITS = 44
 
 
-def _route(rest: np.ndarray, tiers: Sequence[int], room: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Unfilled tokens and tail length of documents with ``rest`` tokens beyond full windows."""
-    rest, gap = rest.copy(), np.zeros_like(rest)
-    for i, tier in enumerate(tiers):
-        near = (rest > 0) & (rest < tier) & (tier - rest <= room[i])
-        gap += np.where(near, tier - rest, 0)
-        rest = np.where(near, 0, rest)
-        if i + 1 < len(tiers):
-            rest = np.where(rest >= tiers[i + 1], rest - tiers[i + 1], rest)
-    return gap, rest
+@dataclass
+class Filled:
+    """Windows of whole documents.
 
+    A block (length, first rank, tier, first window, windows, copies, offset): from that window on,
+    each window holds ``copies`` documents of the length side by side.  A
+    stretch (tier, first window, windows, filled): windows alike.
+    """
 
-def choose_room(lengths: DataFrame, tiers: Sequence[int]) -> list[int]:
-    """Tokens that a window of each tier may leave open so that all tails can fill them.
+    blocks: list[tuple[int, int, int, int, int, int, int]]
+    stretches: list[tuple[int, int, int, int]]
 
-    Decided on counts of length modulo the longest window, a table of bounded size.
-    """
-    counted = lengths.groupBy(F.pmod("n", F.lit(tiers[0])).alias("rest")).agg(F.count(F.lit(1)).alias("k")).collect()
-    rest = np.array([r["rest"] for r in counted], dtype=np.int64)
-    k = np.array([r["k"] for r in counted], dtype=np.int64)
-    for slack in SLACKS:
-        room = [int(t * slack) for t in tiers]
-        gap, tail = _route(rest, tiers, room)
-        if (gap * k).sum() <= (tail * k).sum():
-            return room
-    return [0] * len(tiers)
-
-
-def cut(encoded: DataFrame, tiers: Sequence[int], room: Sequence[int]) -> DataFrame:
-    """Pieces of every document: windows of a tier, filled but for ``gap`` tokens, and a tail of tier 0.
-
-    A rest that nearly fills a tier's window goes there whole.  Otherwise the
-    next tier's size is cut off if it fits, and what stays below the last tier
-    is a tail, which carries its ids.
+    def gap(self) -> int:
+        return sum(windows * (tier - filled) for tier, _, windows, filled in self.stretches)
+
+
+def fill_windows(counts: np.ndarray, tiers: Sequence[int]) -> Filled:
+    """Pack documents, given by their number per length, into windows of their tier.
+
+    A document opens a window of the smallest tier that holds it, long ones first; what
+    it leaves open takes the longest documents that fit, all of shorter tiers
+    (in the last tier, of its own too).  Windows alike are handled together, so
+    the work depends on the number of lengths, not of documents.
     """
-    top = tiers[0]
-    rows = encoded.select(
-        "doc_id", "n", "ids", F.expr(f"n - n % {top}").alias("at"), F.expr(f"n % {top}").alias("rest")
-    )
+    left, used = counts.tolist(), [0] * len(counts)
+    present = [n for n in range(1, len(left)) if left[n]]
+    out = Filled([], [])
 
-    def piece(start, length, tier, gap):
-        return F.struct(
-            start.cast("long").alias("start"), length.cast("long").alias("length"), F.lit(tier).cast("long").alias("tier"), gap.cast("long").alias("gap")
-        )
+    def take(length: int, tier: int, first: int, windows: int, copies: int, at: int) -> None:
+        out.blocks.append((length, used[length], tier, first, windows, copies, at))
+        used[length] += windows * copies
+        left[length] -= windows * copies
+        if not left[length]:
+            present.remove(length)
 
-    whole = F.expr(f"CASE WHEN n >= {top} THEN sequence(0L, n - n % {top} - {top}, {top}L) END")
-    found = [F.coalesce(F.transform(whole, lambda s: piece(s, F.lit(top), top, F.lit(0))), F.array().cast("array<struct<start:bigint,length:bigint,tier:bigint,gap:bigint>>"))]
     for i, tier in enumerate(tiers):
-        at, rest = F.col("at"), F.col("rest")
-        near = (rest > 0) & (rest < tier) & (tier - rest <= room[i])
-        smaller = tiers[i + 1] if i + 1 < len(tiers) else None
-        cuts = [F.when(near, piece(at, rest, tier, tier - rest))]
-        left = F.when(near, 0)
-        if smaller:
-            cuts.append(F.when(~near & (rest >= smaller), piece(at, F.lit(smaller), smaller, F.lit(0))))
-            left = left.when(rest >= smaller, rest - smaller)
-        left = left.otherwise(rest)
-        rows = rows.withColumns({f"cut{i}": F.array(*cuts)}).withColumns(
-            {"at": F.col("n") - left, "rest": left}
-        )
-        found.append(F.col(f"cut{i}"))
-    tail = F.array(F.when(F.col("rest") > 0, piece(F.col("at"), F.col("rest"), 0, F.lit(0))))
-    pieces = rows.select("doc_id", "n", "ids", F.explode(F.concat(*found, tail)).alias("p")).where("p IS NOT NULL")
-    bytes_of = F.expr("substring(ids, cast(4 * p.start + 1 as int), cast(4 * p.length as int))")
+        least = tiers[i + 1] if i + 1 < len(tiers) else 0
+        made = 0
+        while present and present[-1] > least:
+            length = present[-1]
+            # As many windows full of this length as there are, or one with what is left of it.
+            copies = min(tier // length, left[length])
+            windows = left[length] // copies
+            take(length, tier, made, windows, copies, 0)
+            alike = [(made, windows, copies * length)]
+            made += windows
+            while alike:
+                first, windows, at = alike.pop()
+                fits = bisect_right(present, tier - at)
+                if not fits:
+                    out.stretches.append((tier, first, windows, at))
+                    continue
+                length = present[fits - 1]
+                some = min(windows, left[length])
+                copies = min((tier - at) // length, left[length] // some)
+                take(length, tier, first, some, copies, at)
+                alike.append((first, some, at + copies * length))
+                if some < windows:
+                    alike.append((first + some, windows - some, at))
+    return out
+
+
+def choose_loose(cells: np.ndarray, tiers: Sequence[int]) -> tuple[np.ndarray, Filled]:
+    """Which documents (by length and hash cell) may be cut to fill gaps, and the windows of all others.
+
+    The worst filled windows are given up, as few as let their documents fill the gaps
+    of the rest; ``cells`` has the number of documents per length and cell.
+    """
+    loose = np.zeros(cells.shape, dtype=bool)
+    lengths = np.arange(len(cells))
+    while True:
+        filled = fill_windows(np.where(loose, 0, cells).sum(axis=1), tiers)
+        spare = int((np.where(loose, cells, 0).sum(axis=1) * lengths).sum())
+        missing = filled.gap() - spare
+        if missing <= 0:
+            return loose, filled
+        given: dict[int, list[tuple[int, int]]] = {}
+        for tier, first, windows, at in sorted(filled.stretches, key=lambda s: (s[3] / s[0], s)):
+            if missing <= 0:
+                break
+            # A window given up is a gap less, and tokens more to fill others.
+            some = min(windows, -(-missing // tier))
+            given.setdefault(tier, []).append((first, first + some))
+            missing -= some * tier
+        wanted = np.zeros(len(cells), dtype=np.int64)
+        for length, _, tier, first, windows, copies, _ in filled.blocks:
+            for begin, end in given.get(tier, ()):
+                wanted[length] += copies * max(0, min(first + windows, end) - max(first, begin))
+        for length in np.flatnonzero(wanted):
+            free = [c for c in range(cells.shape[1]) if cells[length, c] and not loose[length, c]]
+            free.sort(key=lambda c: (int(cells[length, c]), c))
+            for c in free:
+                if wanted[length] <= 0:
+                    break
+                loose[length, c] = True
+                wanted[length] -= cells[length, c]
+
+
+def count_cells(encoded: DataFrame, top: int) -> np.ndarray:
+    """Documents per length beyond full windows and hash cell: a table of bounded size."""
+    counted = encoded.select(F.expr(f"cast(n % {top} as int)").alias("rest"), _cell()).groupBy("rest", "cell").agg(F.count(F.lit(1)).alias("k")).toPandas()
+    cells = np.zeros((top, CELLS), dtype=np.int64)
+    cells[counted["rest"].to_numpy(dtype=int), counted["cell"].to_numpy(dtype=int)] = counted["k"].to_numpy()
+    cells[0] = 0
+    return cells
+
+
+def _cell():
+    return F.pmod(F.xxhash64("came", F.lit("cell")), F.lit(CELLS)).cast("int").alias("cell")
+
+
+FULL, WHOLE, LOOSE = "full", "whole", "loose"
+
+
+def cut(encoded: DataFrame, top: int, loose: np.ndarray) -> DataFrame:
+    """Pieces of every document: its full windows, and the rest as a whole or, to be cut, with its ids."""
+    spark = encoded.sparkSession
+    chosen = [(int(n), int(c)) for n, c in np.argwhere(loose)]
+    # Bounded by the number of lengths and cells.
+    set_apart = F.broadcast(spark.createDataFrame(chosen, "rest int, cell int").withColumn("loose", F.lit(True)))
+    rows = encoded.withColumns({"rest": F.expr(f"cast(n % {top} as int)"), "cell": _cell()}).join(set_apart, ["rest", "cell"], "left")
+    starts = F.expr(f"sequence(0L, n - 1, {top}L)")
+    pieces = rows.withColumn("start", F.explode(starts)).withColumn("length", F.least(F.lit(top).cast("long"), F.col("n") - F.col("start")))
+    ids = F.expr("substring(ids, cast(4 * start + 1 as int), cast(4 * length as int))")
+    kind = F.when(F.col("length") == top, FULL).when(F.col("loose"), LOOSE).otherwise(WHOLE)
     return pieces.select(
-        "doc_id",
-        F.col("n").alias("doc_tokens"),
-        "p.*",
-        F.crc32(bytes_of).alias("ids_crc32"),
-        F.when(F.col("p.tier") == 0, bytes_of).alias("tail_ids"),
+        "came", "doc_id", F.col("n").alias("doc_tokens"), "start", "length", kind.alias("kind"), F.crc32(ids).alias("ids_crc32"), F.when(kind == LOOSE, ids).alias("tail_ids")
     )
 
 
+def ranked(pieces: DataFrame) -> DataFrame:
+    """``rank``: number of pieces of the same length that come before, in one fixed order.
+
+    Each length is numbered in hash groups of arrivals, so a length that many
+    documents have, or copies of one, spread over all tasks.
+    """
+    groups = 4 * partitions(pieces.sparkSession)
+    keyed = pieces.withColumn("group", F.pmod(F.xxhash64("came"), F.lit(groups)))
+    within = Window.partitionBy("length", "group").orderBy("came")
+    local = keyed.withColumn("rank", F.row_number().over(within) - 1)
+    before = Window.partitionBy("length").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    totals = keyed.groupBy("length", "group").agg(F.count(F.lit(1)).alias("k"))
+    offsets = totals.select("length", "group", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("ahead"))
+    joined = local.join(offsets, ["length", "group"])
+    return joined.withColumn("rank", F.col("rank") + F.col("ahead")).drop("group", "ahead")
+
+
+def placed(whole: DataFrame, filled: Filled) -> DataFrame:
+    """Ranked pieces with the tier, ``index`` of their window in it, and offset; by a look-up in the blocks."""
+    table = np.array(sorted(filled.blocks), dtype=np.int64).reshape(-1, 7)
+    keys = (table[:, 0] << RANK_BITS) + table[:, 1]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, rank = (batch.column(i).to_numpy() for i in (at_length, at_rank))
+            _, since, tier, first, _, copies, at = table[np.searchsorted(keys, (length << RANK_BITS) + rank, "right") - 1].T
+            own = [pa.array(tier), pa.array(first + (rank - since) // copies), pa.array(at + (rank - since) % copies * length)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "tier", "index", "offset"])
+
+    rows = whole.withColumns({c: F.col(c).cast("long") for c in ("length", "rank")})
+    at_length, at_rank = rows.columns.index("length"), rows.columns.index("rank")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields]
+    return rows.mapInArrow(task, ", ".join([*fields, "tier long, index long, offset long"])).drop("rank")
+
+
+def open_windows(whole_like: DataFrame, filled: Filled) -> DataFrame:
+    """Windows with a gap, laid on one line: (at, upto, filled, tier, index)."""
+    spark = whole_like.sparkSession
+    table = np.array([s for s in filled.stretches if s[3] < s[0]], dtype=np.int64).reshape(-1, 4)
+    tier, first, windows, at = table.T
+    upto, line = np.cumsum(windows), np.cumsum(windows * (tier - at))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            i = batch.column(0).to_numpy()
+            k = np.searchsorted(upto, i, "right")
+            nth, gap = i - (upto[k] - windows[k]), tier[k] - at[k]
+            begin = line[k] - windows[k] * gap + nth * gap
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (begin, begin + gap, at[k], tier[k], first[k] + nth)], names=["at", "upto", "filled", "tier", "index"]
+            )
+
+    total = int(windows.sum())
+    return spark.range(0, total, 1, partitions(spark)).mapInArrow(task, "at long, upto long, filled long, tier long, index long")
+
+
 def pack(
     docs: DataFrame,
     vocab_path: str,
@@ -101,33 +219,38 @@ def pack(
 ) -> DataFrame:
     """All token ids of ``docs`` in sequences, a row per piece.
 
-    Documents are routed to tiers by length; a tier's windows are full as cut or
-    leave a small gap.  Gaps and tails are laid end to end on two lines of one
-    length scale; where a tail lies over a gap it fills it.  Tails beyond the
-    last gap fill windows of the longest tier.  So only the last window is
-    padded.  Steps take the same number of tokens from one tier each;
-    ``step_order`` in 0 to 1 mixes the tiers evenly.
+    A document longer than the longest tier gives full windows of it and a rest; rests
+    and shorter documents are routed whole to the smallest tier that holds
+    them.  Each tier is packed, and gaps of its windows are filled with whole
+    documents of shorter tiers, by counts per length.  Only the documents of
+    the worst filled windows are cut: as few as fill what gaps remain.  Gaps
+    and these documents are laid end to end on two lines of one length scale; where a
+    document lies over a gap it fills it, and beyond the last gap they fill
+    windows of the longest tier.  So only the last window is padded.  Steps
+    take the same number of tokens from one tier each; ``step_order`` in 0 to
+    1 mixes the tiers evenly.
 
     Rows: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     tier, step_group, step_order.  A null or empty text is its end id alone.
-    Repeated rows are packed as often as they come; null ids too.  Other
+    Repeated rows are packed as often as they come; null ids too; each row has an arrival
+    number, by which ties and copies are told apart and spread.  Other
     columns are ignored; an empty table gives an empty result.  Longest work of
     one task: a document, or one cell of the two lines.
     """
     spark = docs.sparkSession
     top = tiers[0]
-    encoded = staged_small(tokens.encode(docs, vocab_path, end_id, text), "ids")
-    pieces = staged_small(cut(encoded, tiers, choose_room(encoded.select("n"), tiers)), "pieces")
-    order = ["doc_id", "start", "ids_crc32", "length"]
-
-    counts = {int(t): int(n) for t, n, *_ in pieces.groupBy("tier").agg(F.count(F.lit(1))).collect()}
-    sums = pieces.agg(
-        F.coalesce(F.sum("gap"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("tier") == 0, F.col("length"))), F.lit(0))
-    ).first()
-    gaps, tails = int(sums[0]), int(sums[1])
+    arrived = tokens.encode(docs, vocab_path, end_id, text).withColumn("came", F.monotonically_increasing_id())
+    encoded = staged_small(arrived, "ids")
+    loose, filled = choose_loose(count_cells(encoded, top), tiers)
+    pieces = staged_small(cut(encoded, top, loose), "pieces")
+
+    sums = {r["kind"]: (int(r["k"]), int(r["n"])) for r in pieces.groupBy("kind").agg(F.count(F.lit(1)).alias("k"), F.sum("length").alias("n")).collect()}
+    gaps, tails = filled.gap(), sums.get(LOOSE, (0, 0))[1]
     extra = -(-max(0, tails - gaps) // top)
-    # Sequence ids: tiers one after the other, windows made of tails right after the longest tier.
-    in_tier = {t: counts.get(t, 0) + (extra if t == top else 0) for t in tiers}
+    planned = {t: sum(s[2] for s in filled.stretches if s[0] == t) for t in tiers}
+    # Sequence ids: tiers one after the other; of the longest, planned windows, full ones of long documents, those of tails.
+    full = planned[top] + sums.get(FULL, (0, 0))[0]
+    in_tier = planned | {top: full + extra}
     first, base = 0, {}
     for t in tiers:
         base[t] = first
@@ -151,39 +274,27 @@ def pack(
             }
         )
 
-    flags = {f"is_{t}": (F.col("tier") == t).cast("long") for t in tiers}
-    windows = pieces.where("tier > 0").drop("tail_ids").withColumns(flags)
-    placed = running_sums(windows, order, gap_at="gap", **{f"no_{t}": f"is_{t}" for t in tiers})
-    index = F.lit(None).cast("long")
-    for t in tiers:
-        index = F.when(F.col("tier") == t, F.col(f"no_{t}")).otherwise(index)
-    placed = stepped(placed.withColumn("index", index))
-    heads = placed.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"), "tier", "step_group", "step_order"
+    order = ["came", "start"]
+    narrow = pieces.drop("tail_ids")
+    numbered = running_sums(narrow.where(F.col("kind") == FULL).withColumn("one", F.lit(1)), order, index="one")
+    windows = numbered.withColumns(
+        {"index": F.col("index") + planned[top], "tier": F.lit(top).cast("long"), "offset": F.lit(0).cast("long")}
     )
+    wholes = placed(ranked(narrow.where(F.col("kind") == WHOLE)), filled)
+    result = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "step_order"]
+    heads = stepped(windows.select(*wholes.columns).unionByName(wholes)).select(*result)
 
     spare = spark.range(extra).select(
         (F.lit(gaps) + F.col("id") * top).alias("at"),
         (F.lit(gaps) + (F.col("id") + 1) * top).alias("upto"),
         F.lit(0).cast("long").alias("filled"),
         F.lit(top).cast("long").alias("tier"),
-        (F.col("id") + counts.get(top, 0)).alias("index"),
-    )
-    spare = stepped(spare)
-    open_part = placed.where("gap > 0").select(
-        F.col("gap_at").alias("at"),
-        (F.col("gap_at") + F.col("gap")).alias("upto"),
-        F.col("length").alias("filled"),
-        "tier",
-        "index",
-        "step_group",
-        "sequence_id",
-        "step_order",
+        (F.col("id") + full).alias("index"),
     )
-    room = open_part.unionByName(spare).select(
+    room = stepped(open_windows(pieces, filled).unionByName(spare)).select(
         "at", "upto", F.struct("at", "filled", "tier", "step_group", "sequence_id", "step_order").alias("room")
     )
-    line = running_sums(pieces.where("tier = 0").drop("tier", "gap"), order, at="length")
+    line = running_sums(pieces.where(F.col("kind") == LOOSE), order, at="length")
     fill = line.select(
         "at", (F.col("at") + F.col("length")).alias("upto"), F.struct("at", "doc_id", "start", "doc_tokens", "tail_ids").alias("tail")
     )

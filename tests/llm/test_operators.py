@@ -131,6 +131,58 @@ def test_packing_covers_every_id_once(docs, nothing):
     assert packing.report(nothing, WORDS).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_windows_of_whole_documents(seed):
+    """Blocks replayed document by document: nothing overlaps, overflows or is left out, and no filler that fits is left."""
+    rng = np.random.default_rng(seed)
+    tiers = (64, 32, 16, 8)
+    counts = rng.integers(0, 2 ** rng.integers(1, 9), 64) * (rng.random(64) < rng.random())
+    counts[0] = 0
+    filled = packing.fill_windows(counts, tiers)
+    windows, ranks = {}, Counter()
+    for length, rank, tier, first, n, copies, at in filled.blocks:
+        assert rank == ranks[length]
+        ranks[length] += n * copies
+        for w in range(first, first + n):
+            windows.setdefault((tier, w), []).extend((at + k * length, length) for k in range(copies))
+    assert [ranks[n] for n in range(64)] == counts.tolist()
+    for (tier, _), spans in windows.items():
+        spans.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[0][0] == 0
+        longest = max(n for _, n in spans)
+        assert tier == min(t for t in tiers if t >= longest) and sum(n for _, n in spans) <= tier
+    stretches = {(t, w): at for t, first, n, at in filled.stretches for w in range(first, first + n)}
+    assert stretches == {k: sum(n for _, n in spans) for k, spans in windows.items()}
+    assert filled.gap() == sum(t - at for (t, _), at in stretches.items())
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_as_few_documents_are_cut_as_fill_the_gaps(seed):
+    rng = np.random.default_rng(seed)
+    tiers = (64, 32, 16, 8)
+    cells = rng.integers(0, 2 ** rng.integers(1, 12), (64, 4)) * (rng.random((64, 4)) < 0.7)
+    cells[0] = 0
+    if seed == 0:
+        cells[1:] = 0
+    loose, filled = packing.choose_loose(cells, tiers)
+    tokens_of = (np.where(loose, cells, 0).sum(axis=1) * np.arange(64)).sum()
+    assert filled.gap() <= tokens_of
+    assert sum(n * c for _, _, _, _, n, c, _ in filled.blocks) + np.where(loose, cells, 0).sum() == cells.sum()
+
+
+def test_packing_keeps_most_documents_whole(spark):
+    """Hot lengths and copies too: pieces are gapless, one window is padded, and few documents are cut."""
+    prepared(spark)
+    rows = [(i, " ".join(["the"] * (1 + i * i % 1900))) for i in range(400)] + [(7, " ".join(["the"] * 1299))] * 300 + [(None, "")] * 100
+    pieces_of = packing.report(spark.createDataFrame(rows, "doc_id long, text string"), WORDS).collect()
+    assert sum(r["length"] for r in pieces_of) == sum(len(t.split()) + 1 for _, t in rows)
+    sizes = Counter()
+    for r in pieces_of:
+        sizes[r["sequence_id"], r["tier"]] += r["length"]
+    assert sum(n != tier for (_, tier), n in sizes.items()) <= 1 and len({s for s, _ in sizes}) == len(sizes)
+    assert sum(r["length"] == r["doc_tokens"] for r in pieces_of) > 0.6 * len(rows)
+
+
 def test_packing_of_equal_lengths_needs_no_room(spark):
     prepared(spark)
     rows = spark.createDataFrame([(i, " ".join(["the"] * 1999)) for i in range(40)], "doc_id long, text string")
