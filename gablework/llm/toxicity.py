@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from gablework.llm.common import settled, text_or_empty
 from gablework.llm.training import fit_logistic, fold, labelled_sample, logistic
+from gablework.session import stage
 
-#: Labelled documents to learn from, at most; stems of the lexicon, at most.
-SAMPLE, LEXICON = 6000, 20_000
+#: Labelled documents to learn from, at most.
+SAMPLE = 6000
 #: A stem counts from so many words of toxic documents and so much surely exceeded log odds on.
 LEAST_WORDS, LEAST_ODDS = 4, 1.6
 #: Letters of a stem; whole words are kept apart by a leading "=".
@@ -27,8 +28,20 @@ REMEMBERED = 300_000
 
 TOKEN = re.compile(r"[^\W_]+|[.,;:!?\n]")
 
-# Word lists of the small transducers, in four languages.
-THREATS = "kill hurt destroy murder attack stab shoot tuer frapper töten umbringen schlagen matar golpear".split()
+# Word lists of the small transducers, in four languages; verbs by their infinitives,
+# under the ending that inflected forms replace.
+THREATS = {
+    "": "kill hurt destroy murder attack stab shoot".split(),
+    "er": "tuer frapper".split(),
+    "en": "töten umbringen schlagen".split(),
+    "ar": "matar golpear".split(),
+}
+INFLECTIONS = {
+    "er": "er e es ons ez ent é ée és erai eras era erons erez eront ais ait aient ant".split(),
+    "en": "en e st est t et te test ten tet ete etest eten etet end".split(),
+    "ar": "ar o as a amos áis an é ó aste aron aré arás ará aremos arán aría ando ado".split(),
+    "": " s es ed ing".split(" "),
+}
 TARGETS = "you your yours he she they them tu toi vous du dich ihr euch tú usted ustedes vosotros".split()
 NEGATIONS = "not never neither nor without cannot jamais nicht kein keine niemals nunca jamás tampoco".split()
 REPORTS = "said says wrote quoted claimed reported dit écrit sagte schrieb behauptete dijo escribió".split()
@@ -39,51 +52,62 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, BOUNDARY = range(7)
 SCOPE, NEGATED, REPORTED, TARGETED, THREATENED = 3, 0.5, 0.6, 1.25, 4.0
 
 
+def inflected(verb: str, ending: str) -> set[str]:
+    """The forms of a regular verb; without an ending to replace, also those that double its last letter."""
+    stem = verb.removesuffix(ending)
+    forms = {stem + e for e in INFLECTIONS[ending]}
+    return forms if ending else forms | {stem + stem[-1] + e for e in ("ed", "ing")}
+
+
 @dataclass(frozen=True)
 class Transducer:
-    """States 0 to n - 1, from 0.  ``step``: next state and factor of the word read; ``final``: factor and sum at the end."""
+    """States 0 to n - 1, from 0.
+
+    ``step``: next state, factor of what the word read weighs, and a weight that the
+    composition adds at that word, before the factors.  ``final``: factor of the clause.
+    """
 
     states: int
-    step: dict[tuple[int, int], tuple[int, float]]
-    final: dict[int, tuple[float, float]]
+    step: dict[tuple[int, int], tuple[int, float, float]]
+    final: dict[int, float]
 
-    def move(self, state: int, symbol: int) -> tuple[int, float]:
-        return self.step.get((state, symbol), (state, 1.0))
+    def move(self, state: int, symbol: int) -> tuple[int, float, float]:
+        return self.step.get((state, symbol), (state, 1.0, 0.0))
 
-    def end(self, state: int) -> tuple[float, float]:
-        return self.final.get(state, (1.0, 0.0))
+    def end(self, state: int) -> float:
+        return self.final.get(state, 1.0)
 
 
 def negation() -> Transducer:
-    """Insults within a few words after a negation count less."""
+    """Insults, and threats completed, within a few words after a negation count less."""
     step = {}
     for left in range(SCOPE + 1):
         for symbol in (OTHER, INSULT, THREAT, TARGET, REPORT):
-            step[left, symbol] = (max(0, left - 1), NEGATED if left and symbol == INSULT else 1.0)
-        step[left, NEGATION] = (SCOPE, 1.0)
+            step[left, symbol] = (max(0, left - 1), NEGATED if left else 1.0, 0.0)
+        step[left, NEGATION] = (SCOPE, 1.0, 0.0)
     return Transducer(SCOPE + 1, step, {})
 
 
 def report() -> Transducer:
     """A clause with a verb of speech counts less."""
-    return Transducer(2, {(0, REPORT): (1, 1.0)}, {1: (REPORTED, 0.0)})
+    return Transducer(2, {(0, REPORT): (1, 1.0, 0.0)}, {1: REPORTED})
 
 
 def target() -> Transducer:
     """A clause that addresses someone counts more."""
-    return Transducer(2, {(0, TARGET): (1, 1.0)}, {1: (TARGETED, 0.0)})
+    return Transducer(2, {(0, TARGET): (1, 1.0, 0.0)}, {1: TARGETED})
 
 
 def threat() -> Transducer:
-    """A threat followed or preceded by a target adds a weight of its own."""
-    step = {(0, THREAT): (1, 1.0), (0, TARGET): (2, 1.0), (1, TARGET): (3, 1.0), (2, THREAT): (3, 1.0)}
-    return Transducer(4, step, {3: (1.0, THREATENED)})
+    """The word that completes a threat and its target, in either order, adds a weight: once in a clause."""
+    step = {(0, THREAT): (1, 1.0, 0.0), (0, TARGET): (2, 1.0, 0.0), (1, TARGET): (3, 1.0, THREATENED), (2, THREAT): (3, 1.0, THREATENED)}
+    return Transducer(4, step, {})
 
 
 def insult() -> Transducer:
     """A second insult in a row counts as one phrase: a little more than a single one."""
-    step = {(0, INSULT): (1, 1.0), (1, INSULT): (1, 1.2)}
-    step |= {(1, symbol): (0, 1.0) for symbol in (OTHER, THREAT, TARGET, NEGATION, REPORT)}
+    step = {(0, INSULT): (1, 1.0, 0.0), (1, INSULT): (1, 1.2, 0.0)}
+    step |= {(1, symbol): (0, 1.0, 0.0) for symbol in (OTHER, THREAT, TARGET, NEGATION, REPORT)}
     return Transducer(2, step, {})
 
 
@@ -94,25 +118,24 @@ class Grammar:
         tuples = list(product(*[range(p.states) for p in parts]))
         number = {t: i for i, t in enumerate(tuples)}
         self.next = np.zeros((len(tuples), BOUNDARY), dtype=int)
-        self.factor = np.ones((len(tuples), BOUNDARY))
+        self.factor, self.added = np.ones((len(tuples), BOUNDARY)), np.zeros((len(tuples), BOUNDARY))
         self.final = []
         for t, i in number.items():
             for symbol in range(BOUNDARY):
                 moves = [p.move(s, symbol) for p, s in zip(parts, t)]
                 self.next[i, symbol] = number[tuple(m[0] for m in moves)]
                 self.factor[i, symbol] = np.prod([m[1] for m in moves])
-            ends = [p.end(s) for p, s in zip(parts, t)]
-            self.final.append((float(np.prod([e[0] for e in ends])), sum(e[1] for e in ends)))
-        self.next, self.factor = self.next.tolist(), self.factor.tolist()
+                self.added[i, symbol] = sum(m[2] for m in moves)
+            self.final.append(float(np.prod([p.end(s) for p, s in zip(parts, t)])))
+        self.next, self.factor, self.added = self.next.tolist(), self.factor.tolist(), self.added.tolist()
 
     def clause(self, symbols: list[int], weights: list[float]) -> float:
         """The weight that the grammar gives a clause."""
         state, total = 0, 0.0
         for symbol, weight in zip(symbols, weights):
-            total += weight * self.factor[state][symbol]
+            total += (weight + self.added[state][symbol]) * self.factor[state][symbol]
             state = self.next[state][symbol]
-        times, more = self.final[state]
-        return (total + more) * times
+        return total * self.final[state]
 
 
 class Scorer:
@@ -123,7 +146,7 @@ class Scorer:
     def __init__(self, lexicon: dict[str, float], remembered: int = REMEMBERED):
         self.lexicon, self.remembered = lexicon, remembered
         self.grammar = Grammar((negation(), report(), target(), threat(), insult()))
-        self.fixed = {w: (s, 0.0) for s, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words}
+        self.fixed = {w: (s, 0.0) for s, words in ((THREAT, [f for e, verbs in THREATS.items() for v in verbs for f in inflected(v, e)]), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words}
         self.fixed |= {c: (BOUNDARY, 0.0) for c in ".,;:!?\n"}
         self.known: dict[str, tuple[int, float]] = dict(self.fixed)
 
@@ -200,11 +223,19 @@ def _stem_counts(sample: DataFrame):
     rows = counts.select("half", "__label", "n", F.explode(stems).alias("stem"))
     toxic = [F.sum(F.when(F.col("half") == h, F.col("__label") * F.col("n")).otherwise(0)).alias(f"t{h}") for h in (0, 1)]
     every = [F.sum(F.when(F.col("half") == h, F.col("n")).otherwise(0)).alias(f"n{h}") for h in (0, 1)]
-    counted = rows.groupBy("stem").agg(*toxic, *every).where(F.col("t0") + F.col("t1") >= 2)
-    # Stems seen in toxic documents more often than by chance; of them the most telling.
-    share = (F.col("t0") + F.col("t1")) / (F.col("n0") + F.col("n1"))
-    telling = (F.log(F.col("t0") + F.col("t1") + 1) * share).desc()
-    return counted.orderBy(F.col("stem") != "", telling, "stem").limit(LEXICON).toPandas()
+    counted = stage(rows.groupBy("stem").agg(*toxic, *every).where(F.col("t0") + F.col("t1") >= LEAST_WORDS), "stems")
+    every_word = counted.where("stem = ''").first()
+    if every_word is None:
+        return counted.limit(0).toPandas()
+    # Only stems that some choice of halves could take leave the cluster: _lexicon passes over all others.
+    could = F.col("stem") == ""
+    for halves in ((0,), (1,), (0, 1)):
+        t, n = (sum((F.col(f"{x}{h}") for h in halves), F.lit(0)) for x in "tn")
+        all_t, all_n = (sum(every_word[f"{x}{h}"] for h in halves) for x in "tn")
+        ratio = F.log((t + 0.5) / (n - t + 0.5)) - float(np.log((all_t + 1) / (all_n - all_t + 1)))
+        surely = ratio - 2 * F.sqrt(1 / (t + 0.5) + 1 / (n - t + 0.5))
+        could = could | ((t >= LEAST_WORDS) & (surely >= LEAST_ODDS - 1e-9))
+    return counted.where(could).toPandas()
 
 
 def _lexicon(stems, halves: tuple[int, ...]) -> dict[str, float]:
@@ -276,7 +307,8 @@ def scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     A null or empty text has no clauses; its score is that of a text without
     matches.  Rows are scored one by one, so ties and repeated rows score
-    alike; an empty table gives an empty result.
+    alike; an empty table gives an empty result.  A very long text is one row
+    of work: its words are held once, its clauses one at a time.
     """
     lexicon, weights = model.lexicon, model
 

@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pytest
@@ -389,6 +390,53 @@ def test_lexicon_counts_contexts_not_copies(spark):
     assert toxicity._lexicon(toxicity._stem_counts(sample.limit(0)), (0, 1)) == {}
 
 
+def test_negation_and_speech_act_on_threats_too():
+    scorer = toxicity.Scorer({})
+    clause = lambda t: scorer.grammar.clause(*zip(*[scorer.fixed.get(w, (toxicity.OTHER, 0.0)) for w in t.split()]))
+    for form in "kill kills killed killing stabbed murdered shooting tue tuent frappait tötet tötete mataré golpeó".split():
+        assert clause(f"{form} you") == clause(f"you {form}") == 5.0
+    assert clause("not kill you") == 2.5 and clause("said kill you") == 3.0 and clause("said not kill you") == 1.5
+    assert clause("kill you and not kill you") == 5.0
+
+
+def _plainly(symbols, weights):
+    """What the grammar's rules say of a clause, read off the whole clause."""
+    t, total, paired = toxicity, 0.0, False
+    for i, symbol in enumerate(symbols):
+        since = next((k for k in range(1, i + 1) if symbols[i - k] == t.NEGATION), None)
+        factor = t.NEGATED if since is not None and since <= t.SCOPE and symbol != t.NEGATION else 1.0
+        if symbol == t.INSULT and i and symbols[i - 1] == t.INSULT:
+            factor *= 1.2
+        before = set(symbols[:i])
+        completes = not paired and ((symbol == t.TARGET and t.THREAT in before) or (symbol == t.THREAT and t.TARGET in before))
+        paired |= completes
+        total += (weights[i] + (t.THREATENED if completes else 0.0)) * factor
+    return total * (t.REPORTED if t.REPORT in symbols else 1.0) * (t.TARGETED if t.TARGET in symbols else 1.0)
+
+
+def test_composed_table_equals_the_rules_on_all_short_clauses():
+    grammar = toxicity.Scorer({}).grammar
+    for n in range(1, 6):
+        for symbols in product(range(toxicity.BOUNDARY), repeat=n):
+            weights = [1.0 + i if s == toxicity.INSULT else 0.0 for i, s in enumerate(symbols)]
+            assert grammar.clause(symbols, weights) == pytest.approx(_plainly(symbols, weights)), symbols
+
+
+def test_no_telling_stem_stays_on_the_cluster(spark, tmp_path):
+    """The lexicon of all counts in memory equals the one of the stems that were fetched."""
+    rows = [(i, int(i < 90), f"{prose(40 * i, 25)} you {'vermin' if i % 2 else 'moronic'} {word(i)}") for i in range(180)]
+    sample = spark.createDataFrame(rows, "doc_id long, __label int, text string")
+    fetched = toxicity._stem_counts(sample)
+    least, toxicity.LEAST_ODDS = toxicity.LEAST_ODDS, -1e9
+    try:
+        every = toxicity._stem_counts(sample)
+    finally:
+        toxicity.LEAST_ODDS = least
+    assert len(every) > len(fetched)
+    for halves in ((0,), (1,), (0, 1)):
+        assert toxicity._lexicon(every, halves) == toxicity._lexicon(fetched, halves)
+
+
 @pytest.mark.parametrize(("module", "label", "column"), [(toxicity, "toxic", "report_scores"), (factors, "quality", "report")])
 def test_held_out_accuracy(spark, module, label, column):
     prepared(spark)
