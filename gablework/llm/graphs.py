@@ -26,6 +26,8 @@ VERIFIED = 1 << 21
 SLACK = 0.02
 #: Queries of an audit, and the shares of true neighbours that must be found.
 AUDITED, NEIGHBOURS, NEAREST_RECALL, LINK_RECALL = 64, 10, 0.9, 1.0
+#: Vectors whose links are also counted by comparing them with all others: one id in so many.
+AUDIT_EVERY = 100
 
 
 class LayeredGraph:
@@ -315,6 +317,15 @@ class _Links:
             self.root = self.root[self.root]
 
 
+def _true_links(left: np.ndarray, left_norm: np.ndarray, right: np.ndarray, right_norm: np.ndarray, cosine: float) -> int:
+    """Pairs of the rows of two tables with a cosine of ``cosine`` or more, by comparing all, some rows at a time."""
+    total = 0
+    for i in range(0, len(left), 256):
+        part = slice(i, i + 256)
+        total += int((left[part] @ right.T / (left_norm[part, None] * right_norm[None, :]) >= cosine).sum())
+    return total
+
+
 def _usable(vector: Column, label: Column) -> Column:
     infinite = float("inf")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
@@ -338,7 +349,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
 
 
 def classes(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of every row of ``vectors`` (vec_id, embedding, label).
+    """(vec_id, n_links, component_id, kept, audit_recall) of every row of ``vectors`` (vec_id, embedding, label).
 
     Equal vectors of a label are one node that counts as often as it occurs.  A
     label's nodes are dealt to shards of about ``shard`` vectors by hash; each
@@ -348,6 +359,10 @@ def classes(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD) -> D
     shards keeps and returns link counts and a forest that connects what its links connect, so its
     memory does not grow with the links and its result is no longer than its rows.
 
+    ``audit_recall`` is one value for the whole run: of the links that vectors whose node is divisible by
+    :data:`AUDIT_EVERY` have to others, by comparing them with all of their label, the share that the graphs
+    found; null if they have none.
+
     A vector that is null, empty, zero, or holds null or non-finite components, and
     one without label, links with nothing.  Vectors of other lengths do not link.
     Rows with one vec_id count as one vector for components.  A null vec_id is
@@ -426,18 +441,25 @@ def classes(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD) -> D
                 same = row.shard == row.other
                 parts, _ = linked_parts(graph, (q_raw / q_norm[:, None]).astype(np.float32), cosine)
                 links = _Links(q_times, times, same)
+                q_asked, asked, hits = q_node % AUDIT_EVERY == 0, node % AUDIT_EVERY == 0, 0
+                true = _true_links(q_raw[q_asked], q_norm[q_asked], raw, norm, cosine)
+                # Within one shard a vector also meets itself, which is no link.
+                true += -int(asked.sum()) if same else _true_links(raw[asked], norm[asked], q_raw, q_norm, cosine)
                 for q, x in _either_way(parts, len(node)) if same else parts:
                     for k in range(0, len(q), 1 << 16):
                         qk, xk = q[k : k + (1 << 16)], x[k : k + (1 << 16)]
                         sure = _cosines(q_raw, qk, raw, xk) / (q_norm[qk] * norm[xk]) >= cosine
                         links.add(qk[sure], xk[sure])
+                        hits += int(q_asked[qk[sure]].sum() + asked[xk[sure]].sum())
                 ends = node if same else np.concatenate([q_node, node])
                 found = pd.DataFrame({"a": ends, "n": links.count}).query("n > 0")
                 found = found.groupby("a", as_index=False)["n"].sum()
                 edges = pd.DataFrame(ends[np.array(links.forest, dtype=int).reshape(-1, 2)], columns=["a", "b"], dtype="int64")
-                yield pd.concat([found.assign(b=None), edges.assign(n=None)])[["a", "b", "n"]].astype("Int64")
+                audit = pd.DataFrame({"hits": [hits], "true": [true]})
+                yield pd.concat([found, edges, audit]).reindex(columns=["a", "b", "n", "hits", "true"]).astype("Int64")
 
-    found = stage(pairs.mapInPandas(search, "a bigint, b bigint, n bigint"), "links")
+    found = stage(pairs.mapInPandas(search, "a bigint, b bigint, n bigint, hits bigint, true bigint"), "links")
+    recall = found.agg(F.try_divide(F.sum("hits"), F.sum("true")).alias("recall")).select("recall").scalar()
     named = components(found.where("b IS NOT NULL").select("a", "b"))
     linked = found.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     summary = stage(
@@ -450,5 +472,5 @@ def classes(vectors: DataFrame, cosine: float = COSINE, shard: int = SHARD) -> D
     good = rows.where("usable").select("vec_id", "own", *key).join(summary, key).select("vec_id", "own", "n_links", "component_id")
     out = good.unionByName(lone)
     return out.select(
-        "vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id").cast("long") == F.col("component_id"), F.lit(False)).alias("kept")
+        "vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id").cast("long") == F.col("component_id"), F.lit(False)).alias("kept"), recall.alias("audit_recall")
     )

@@ -312,6 +312,7 @@ def test_graphs_equal_brute_force(spark):
         assert got[i]["n_links"] == len(others) and got[i]["component_id"] <= min({i, *others})
         assert all(got[j]["component_id"] == got[i]["component_id"] for j in others)
         assert got[i]["kept"] == (got[i]["component_id"] == i)
+    assert {r["audit_recall"] for r in got.values()} == {1.0}
     assert graphs.classes(frame.limit(0)).count() == 0
 
 
