@@ -656,41 +656,40 @@ register(
 
 
 def _promoted_scoring(spark, d):
-    """A price rule scores half of the listings; corrected by their mean error, and if better promoted, it scores the rest."""
+    """A price rule at an outdated price level scores half of the listings; its level is then corrected, and if better promoted for the rest."""
     folder, out, state = (scratch_path(spark, n) for n in ("arriving", "promoted", "promoted-state"))
     rows, early = staged(spark, d), F.col("listing_id") < "8"
     seen = rows.where(early)
     asked = ["listing_id", "area", "bedrooms", "bathrooms", "age_years", "has_garage", "district"]
     store = Store(spark, scratch_path(spark, "models"))
 
-    def saved(offset: DataFrame) -> str:
-        path = scratch_path(spark, "offset")
-        offset.write.parquet(path)
+    def saved(level: DataFrame) -> str:
+        path = scratch_path(spark, "level")
+        level.write.parquet(path)
         return path
 
     def load(path: str) -> scoring_stream.Scorer:
-        offset = spark.read.parquet(path).first()[0]
+        level = spark.read.parquet(path).first()[0]
         rule = P.rule_price(PRICE_WEIGHTS_V1, DISTRICT_FACTORS, floor=50_000)
-        return lambda batch: batch.select("listing_id", (rule + offset).alias("prediction"))
+        return lambda batch: batch.select("listing_id", (rule * level).alias("prediction"))
 
     def run(part: DataFrame) -> None:
         part.select(*asked).write.mode("append").parquet(folder)
         scoring_stream.run_promoted_scoring(stream.read_stream(spark, folder), store, load, out, state)
 
-    scoring_stream.promote(store, "1", saved(spark.range(1).select(F.lit(0.0).alias("offset"))))
+    scoring_stream.promote(store, "1", saved(spark.range(1).select(F.lit(0.8).alias("level"))))
     run(seen)
-    error = F.col("price") - F.col("predicted")
-    offset = saved(seen.agg(F.avg(error).alias("offset")))
-    off = spark.read.parquet(offset).first()[0]
-    corrected = seen.withColumn("corrected", F.col("predicted") + off)
-    fits = corrected.agg(core_metrics()["r2"].alias("current_r2"), core_metrics("price", "corrected")["r2"].alias("candidate_r2"))
+    level = saved(seen.agg((F.sum("price") / F.sum("predicted")).alias("level")))
+    now = spark.read.parquet(level).first()[0]
+    both = seen.withColumns({"old": F.col("predicted") * 0.8, "new": F.col("predicted") * now})
+    fits = both.agg(core_metrics("price", "old")["r2"].alias("current_r2"), core_metrics("price", "new")["r2"].alias("candidate_r2"))
     decision = D.retrain_decision(
         fits.select(
             "*", F.col("current_r2").alias("baseline_r2"), F.lit(0.0).alias("drift_score"), F.current_date().alias("as_of"), F.current_date().alias("last_trained")
         )
     )
     if decision.first()["promote"]:
-        scoring_stream.promote(store, "2", offset)
+        scoring_stream.promote(store, "2", level)
     run(rows.where(~early))
     return spark.read.parquet(f"{out}/scored").select("listing_id", "model_version", "prediction")
 
@@ -699,12 +698,12 @@ register(
     "t11_promoted_scoring_stream",
     _promoted_scoring,
     LISTINGS_SQL
-    + """, early AS (SELECT *, avg(price - predicted) OVER () AS off FROM listings WHERE listing_id < '8'),
-fits AS (SELECT max(off) AS off, 1e0 - sum((price-predicted)*(price-predicted))/(count(*)*var_pop(price)) AS r2,
-  1e0 - sum((price-predicted-off)*(price-predicted-off))/(count(*)*var_pop(price)) AS better FROM early),
-chosen AS (SELECT off, (better - r2)/r2 >= 0.02e0 AS promote FROM fits)""",
+    + """, early AS (SELECT *, sum(price) OVER () / sum(predicted) OVER () AS level FROM listings WHERE listing_id < '8'),
+fits AS (SELECT max(level) AS level, 1e0 - sum((price-predicted*0.8e0)*(price-predicted*0.8e0))/(count(*)*var_pop(price)) AS r2,
+  1e0 - sum((price-predicted*level)*(price-predicted*level))/(count(*)*var_pop(price)) AS better FROM early),
+chosen AS (SELECT level, (better - r2)/r2 >= 0.02e0 AS promote FROM fits)""",
     """SELECT listing_id, CASE WHEN listing_id >= '8' AND promote THEN '2' ELSE '1' END AS model_version,
-  predicted + CASE WHEN listing_id >= '8' AND promote THEN off ELSE 0e0 END AS prediction FROM listings, chosen""",
+  predicted * CASE WHEN listing_id >= '8' AND promote THEN level ELSE 0.8e0 END AS prediction FROM listings, chosen""",
     prediction=3,
 )
 
