@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -19,8 +18,8 @@ SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 3
 CELLS = 1 << 18
 #: A shingle in at most one of so many documents has full weight.
 RARE = 32
-#: Members of a bucket compared with as many others at once.
-BLOCK = 512
+#: Room for rounding where a sum of weights is held against a limit; pairs are verified after it.
+SLACK = 1e-6
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -291,107 +290,139 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     return two.select("a", "b", "text_a", "text_b").mapInArrow(task, "a bigint, b bigint")
 
 
-def _shared_weights(row: np.ndarray, code: np.ndarray, idf: np.ndarray, rows: int) -> np.ndarray:
-    """(rows, rows, 2) sums of shared weights between all rows of a block pair, some columns at a time."""
-    out = np.zeros((rows, rows, 2))
-    _, column, counts = np.unique(code, return_inverse=True, return_counts=True)
-    common = counts[column] > 1
-    row, column, idf = row[common], column[common], idf[common]
-    _, column = np.unique(column, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    row, column, idf = row[order], column[order], idf[order]
-    width = 4096
-    for first in range(0, int(column.max(initial=-1)) + 1, width):
-        part = slice(*np.searchsorted(column, [first, first + width]))
-        table = np.zeros((rows, width), dtype=np.float32)
-        table[row[part], column[part] - first] = 1
-        weight = np.zeros(width, dtype=np.float32)
-        weight[column[part] - first] = idf[part]
-        out[:, :, 0] += (table * weight) @ table.T
-        out[:, :, 1] += table @ table.T
+def _occurrence_counts(texts: DataFrame, weights: Weights) -> np.ndarray:
+    """How often the shingle occurrences of each cell come in ``texts``: a table of fixed size."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CELLS, dtype=np.int64)
+        for batch in batches:
+            counts += np.bincount(_cell(_occurrences(batch.column(0), weights)[1]), minlength=CELLS)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], names=["cell", "n"])
+
+    counted = texts.select("text").mapInArrow(task, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(CELLS, dtype=np.int64)
+    out[counted["cell"].to_numpy(dtype=np.int64)] = counted["n"].to_numpy(dtype=np.int64)
     return out
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what all the given edges connect; at most one less than the nodes."""
-    root: dict[int, int] = {}
-    kept = []
+def _prefixes(texts: DataFrame, weights: Weights) -> DataFrame:
+    """(key, node, component, total, rest, short): the rarest shingle occurrences of each text, by both weights.
 
-    def top(x: int) -> int:
-        root.setdefault(x, x)
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
+    Occurrences stand in one order for all texts, rarest first.  ``rest`` is the weight
+    from an occurrence on.  Where it is the first that two texts share, they share
+    at most the lesser ``rest``; an occurrence is left out where that can't reach the
+    limit, and is not ``short`` where it can't with a text at least as heavy.
+    """
+    common = _occurrence_counts(texts, weights)
+    brief = 2 * SIMILARITY / (1 + SIMILARITY)
 
-    for x, y in zip(a.tolist(), b.tolist()):
-        i, j = top(x), top(y)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-            kept.append((x, y))
-    return kept
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, code, idf = _occurrences(batch.column(2), weights)
+            if not len(row):
+                continue
+            order = np.lexsort((code, common[_cell(code)], row))
+            row, code, idf = row[order], code[order], idf[order]
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            times = np.diff(np.append(first, len(row)))
+            for measure, weight in enumerate((idf, np.ones(len(idf)))):
+                before = np.cumsum(weight) - weight
+                total = np.repeat(np.add.reduceat(weight, first), times)
+                rest = total - (before - np.repeat(before[first], times))
+                taken = np.flatnonzero(rest >= (SIMILARITY - SLACK) * total)
+                at = pa.array(row[taken])
+                short = rest[taken] >= (brief - SLACK) * total[taken]
+                key = _mix(code[taken] + _step(measure + 1)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), batch.column(0).take(at), batch.column(1).take(at), *map(pa.array, (total[taken], rest[taken], short))],
+                    names=["key", "node", "component", "total", "rest", "short"],
+                )
+
+    kinds = "key bigint, node bigint, component bigint, total double, rest double, short boolean"
+    return texts.select("node", "component", "text").mapInArrow(task, kinds)
+
+
+def candidates(texts: DataFrame, weights: Weights) -> DataFrame:
+    """Pairs (a, b) of ``texts`` (node, component, text): all similar ones of different components, and few others.
+
+    Similar texts share an occurrence among the rarest fifth or so of each, and among the
+    rarest ninth of the lighter one, so a join on those finds them all.  A key whose
+    texts are in one component is dropped; elsewhere the texts outside a key's largest
+    component are joined with all others, so that a large group of copies that is
+    connected already is never joined with itself.
+    """
+    found = stage(_prefixes(texts, weights), "prefixes")
+    parts = found.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.count(F.lit(1)).alias("parts"))
+    shared = stage(found.join(parts.where("parts > 1").drop("parts").hint("merge"), "key"), "prefixes")
+    sides = [shared.where("component <> major"), shared]
+    names = ["node", "component", "total", "rest", "short"]
+    one, two = (side.select("key", *[F.col(n).alias(f"{n}_{i}") for n in names]) for i, side in enumerate(sides))
+    lighter = F.struct("total_0", "node_0") < F.struct("total_1", "node_1")
+    close = (
+        (F.col("component_0") != F.col("component_1"))
+        & F.when(lighter, F.col("short_0")).otherwise(F.col("short_1"))
+        & (F.least("total_0", "total_1") >= (SIMILARITY - SLACK) * F.greatest("total_0", "total_1"))
+        & (F.least("rest_0", "rest_1") >= (SIMILARITY / (1 + SIMILARITY) - SLACK) * (F.col("total_0") + F.col("total_1")))
+    )
+    joined = one.join(two.hint("merge"), "key").where(close)
+    return joined.select(F.greatest("node_0", "node_1").alias("a"), F.least("node_0", "node_1").alias("b")).distinct()
 
 
-def _across(open_members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
-    """Links (a, b) between members of one bucket that are not yet connected, block against block.
+def _typical(members: DataFrame, bands: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's most typical member and those of its members that are not connected to it.
 
-    ``open_members``: bucket, band, node, component, bands.  A bucket is cut into blocks
-    of BLOCK members by hash, and each pair of blocks is compared whole in one
-    call.  It returns a forest of the links, not the pairs.  Two members that
-    share several buckets are compared in the one of their first common band.
+    ``members``: bucket, node, component.  The keys that are most common in a group of near copies
+    are those of the text they were made from; the member with most of the bucket's
+    most common keys is compared with the others.
     """
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("node").reset_index(drop=True)
-        lo, hi, band = int(part["lo"].iloc[0]), int(part["hi"].iloc[0]), int(part["band"].iloc[0])
-        component, block = part["component"].to_numpy(), part["block"].to_numpy()
-        keys = np.stack(part["bands"].to_numpy())
-        wanted = (component[:, None] != component[None, :]) & (block[:, None] == lo) & (block[None, :] == hi)
-        if lo == hi:
-            wanted &= np.tri(len(part), k=-1, dtype=bool)
-        for earlier in range(band):
-            for one in (earlier, earlier + BANDS):
-                for two in (earlier, earlier + BANDS):
-                    wanted &= keys[:, one][:, None] != keys[:, two][None, :]
-        found = np.zeros((0, 2), dtype=np.int64)
-        if wanted.any():
-            row, code, idf = _occurrences(pa.array(part["text"], pa.large_string()), weights)
-            total = np.stack([np.bincount(row, weights=w, minlength=len(part)) for w in (idf, np.ones(len(idf)))], axis=-1)
-            shared = _shared_weights(row, code, idf, len(part))
-            a, b = np.nonzero(wanted & _similar(shared, total[:, None, :] + total[None, :, :]))
-            node = part["node"].to_numpy()
-            found = np.array(_forest(node[a], node[b]), dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")
-    placed = open_members.withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0), F.ceil(F.col("size") / BLOCK).cast("int") - 1))
-    paired = placed.withColumn("other", other).withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-    ready = paired.drop("other", "size").join(texts, "node")
-    return ready.groupBy("bucket", "lo", "hi").applyInPandas(compare, "a bigint, b bigint")
+    keyed = stage(members.join(bands, "node"), "members")
+    counts = keyed.select("bucket", F.posexplode("bands").alias("i", "key")).groupBy("bucket", "i", "key").agg(F.count(F.lit(1)).alias("n"))
+    modes = counts.groupBy("bucket", "i").agg(F.max_by("key", F.struct("n", "key")).alias("key"))
+    modes = modes.groupBy("bucket").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "key"))), lambda x: x["key"]).alias("modes"))
+    agree = F.zip_with("bands", "modes", lambda x, y: (x == y).cast("int"))
+    scored = keyed.join(stage(modes, "modes"), "bucket").withColumn("agree", F.aggregate(agree, F.lit(0), lambda x, y: x + y))
+    centre = F.max_by(F.struct("node", "component"), F.struct("agree", -F.col("node")))
+    centres = stage(scored.groupBy("bucket").agg(centre.alias("centre")), "centres")
+    apart = members.join(centres, "bucket").where("component <> centre.component")
+    return apart.select(F.greatest("node", "centre.node").alias("a"), F.least("node", "centre.node").alias("b")).distinct()
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, node, component): the members of buckets that hold several components."""
+    named = members.select("bucket", "node").join(found, "node", "left")
+    named = stage(named.select("bucket", "node", F.coalesce("component", "node").alias("component")), "spokes")
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    return stage(named.join(stage(mixed.where("least < most").select("bucket"), "open"), "bucket"), "open")
 
 
 def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weights, given: DataFrame) -> DataFrame:
     """Connected components (node, component) over all similar pairs that share a bucket, and the links given.
 
-    ``members`` is (bucket, band, node), ``bands`` (node, bands).  First each bucket's
-    members are compared with its smallest node.  Where its other members are
-    then in several components, those are compared with each other, save pairs that
-    are connected already.  So no pair in a bucket is left out.
+    ``members`` is (bucket, band, node), ``bands`` (node, bands).  Each bucket's
+    members are compared with its smallest node, then, where they are in several
+    components, with its most typical member.  All texts of buckets that still hold several
+    components are joined by their rarest shingles, see :func:`candidates`, whatever
+    bucket they share.  So no pair in a bucket is left out, and no bucket is compared all with all.
     """
     centres = stage(members.groupBy("bucket").agg(F.min("node").alias("centre")), "centres")
     spokes = stage(members.join(centres, "bucket").where("node <> centre"), "spokes")
     star = spokes.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     edges = stage(verified(stage(star, "pairs"), texts, weights).unionByName(given), "links")
     found = components(edges)
-    labelled = stage(spokes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("centre"), "spokes")
-    mixed = labelled.groupBy("bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")
-    )
-    mixed = stage(mixed.where("least < most").select("bucket", "size"), "open")
-    if mixed.isEmpty():
+    rows = _open(spokes, found)
+    if rows.isEmpty():
+        return found
+    more = stage(verified(stage(_typical(rows, bands), "pairs"), texts, weights), "links")
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        found = components(edges)
+        rows = _open(rows, found)
+    left = stage(rows.select("node", "component").distinct().join(texts, "node"), "open")
+    if left.isEmpty():
         return found
-    rows = stage(labelled.join(mixed, "bucket").join(bands, "node"), "open")
-    more = stage(_across(rows, texts, weights), "links")
+    more = stage(verified(stage(candidates(left, weights), "pairs"), texts, weights), "links")
     return found if more.isEmpty() else components(edges.unionByName(more))
 
 

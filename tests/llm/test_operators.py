@@ -7,12 +7,14 @@ from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gablework.llm import chat, factors, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes, toxicity
 from gablework.llm.common import components, prepared, vocabulary
+from gablework.session import stage
 
 WORDS, PIECES = vocabulary("word_bpe_49k.json"), vocabulary("piece_bpe_32k.model")
 # Extra columns bear names that the operators use themselves.
@@ -272,17 +274,70 @@ def test_minhash_large_groups_linked_to_one_text_only(spark):
         assert found <= near and len(near - found) <= 2
 
 
-def test_block_weights_equal_pairs():
-    import pyarrow as pa
+def _pairs(spark, texts, weights):
+    """The candidates of the join on rare shingles, and those of them that are similar."""
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "node long, component long, text string")
+    pairs = stage(minhash.candidates(rows, weights))
+    good = minhash.verified(pairs, rows, weights)
+    return pairs, {(r["a"], r["b"]) for r in good.collect()}
 
-    some = [BASE, NEAR, "a b c d e f a b c d e f a b c d e", "a b c d e f g", "", "x y"]
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rare_shingles_find_all_similar_pairs(spark, seed):
+    """Texts of graded likeness, sizes and repeats, weights that fall with frequency: as all pairs, also at exactly 0.8."""
+    prepared(spark)
+    rng = np.random.default_rng(seed)
+    bases = [[word(int(i)) for i in rng.integers(0, 400, n)] for n in (3, 30, 90, 300)]
+    texts = ["x y", "x y", " ".join(["same"] * 50), " ".join(["same"] * 44)]
+    texts += [" ".join(f"tie{i}" for i in range(94)), " ".join(f"tie{i}" for i in range(76))]  # 90 and 72 shingles: 0.8
+    for i in range(120):
+        copy = list(bases[i % 4])
+        for k in rng.choice(len(copy), rng.integers(0, 1 + len(copy) // 20), replace=False):
+            copy[k] = f"other{i}x{k}"
+        texts.append(" ".join(copy[: len(copy) - int(rng.integers(0, 1 + len(copy) // 6))]))
+    cells = np.arange(0, minhash.CELLS, 2)
+    weights = minhash.Weights(cells, rng.integers(1, 200, len(cells)), 200)
+    a, b = np.tril_indices(len(texts), -1)
+    side = [pa.array([texts[i] for i in x], pa.large_string()) for x in (a, b)]
+    good = minhash._similar(*minhash.weighted_jaccard(*side, weights))
+    expected = set(zip(a[good].tolist(), b[good].tolist()))
+    _, found = _pairs(spark, texts, weights)
+    assert found == expected and (5, 4) in found and (1, 0) in found and len(found) < len(a)
+
+
+def test_unlike_texts_of_one_bucket_cost_no_pairs(spark):
+    """20,000 texts that share half their words lie in one bucket; a few of them are near copies."""
+    prepared(spark)
+    shared = " ".join(word(i) for i in range(20))
+    texts = [shared + " " + " ".join(f"own{i}x{k}" for k in range(20)) for i in range(20_000)]
+    texts += [t + " end" for t in texts[:50]]
+    weights = minhash.Weights(np.zeros(0, int), np.zeros(0, int), 1)
+    pairs, found = _pairs(spark, texts, weights)
+    assert found == {(20_000 + i, i) for i in range(50)} and pairs.count() <= 100
+    ids = spark.range(len(texts)).withColumnRenamed("id", "node")
+    members = stage(ids.selectExpr("7L AS bucket", "0 AS band", "node"))
+    bands = stage(ids.selectExpr("node", "transform(sequence(1, 20), i -> xxhash64(node, i)) AS bands"))
+    bodies = stage(spark.createDataFrame(list(enumerate(texts)), "node long, text string"))
+    named = minhash.links(members, bands, bodies, weights, spark.createDataFrame([], "a long, b long"))
+    assert {(r["node"], r["component"]) for r in named.collect()} == {(20_000 + i, i) for i in range(50)}
+
+
+def test_typical_member_is_the_text_copied(spark):
+    """Copies that are linked to their base only, which is not the smallest node of their bucket."""
+    prepared(spark)
+    rng = np.random.default_rng(4)
+    base = [word(i) for i in range(304)]
+    texts = {500: " ".join(base)}
+    for i in range(400):
+        copy = list(base)
+        for k in rng.choice(50, 6, replace=False):
+            copy[6 * k + 3] = f"other{i}x{k}"
+        texts[i] = " ".join(copy)
+    rows = stage(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     weights = minhash.Weights(np.zeros(0, int), np.zeros(0, int), 1)
-    row, code, idf = minhash._occurrences(pa.array(some), weights)
-    shared = minhash._shared_weights(row, code, idf, len(some))
-    for i, x in enumerate(some):
-        one, _ = minhash.weighted_jaccard(pa.array([x] * len(some)), pa.array(some), weights)
-        off = [j for j in range(len(some)) if j != i]
-        assert np.allclose(shared[i, off], one[off])
+    bands = stage(minhash.signatures(rows, weights).selectExpr("doc_id AS node", "bands"))
+    members = stage(bands.selectExpr("7L AS bucket", "node", "node AS component"))
+    assert {tuple(r) for r in minhash._typical(members, bands).collect()} == {(500, i) for i in range(400)}
 
 
 def test_components_of_chains(spark):
