@@ -20,6 +20,8 @@ CELLS = 1 << 18
 RARE = 32
 #: Room for rounding where a sum of weights is held against a limit; pairs are verified after it.
 SLACK = 1e-6
+#: Members of a bucket in one part of it.
+SPREAD = 64
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -373,16 +375,23 @@ def candidates(texts: DataFrame, weights: Weights) -> DataFrame:
 def _typical(members: DataFrame, bands: DataFrame) -> DataFrame:
     """Pairs (a, b) of each bucket's most typical member and those of its members that are not connected to it.
 
-    ``members``: bucket, node, component.  The keys that are most common in a group of near copies
+    ``members``: bucket, node, component, size.  The keys that are most common in a group of near copies
     are those of the text they were made from; the member with most of the bucket's
-    most common keys is compared with the others.
+    most common keys is compared with the others.  A large bucket's members are spread
+    over parts of about SPREAD rows, and its most common keys go to each part.
     """
-    keyed = stage(members.join(bands, "node"), "members")
+
+    def parts(size: str) -> Column:
+        return F.ceil(F.col(size) / SPREAD)
+
+    keyed = stage(members.join(bands, "node").withColumn("part", F.pmod(F.xxhash64("node"), parts("size"))), "members")
     counts = keyed.select("bucket", F.posexplode("bands").alias("i", "key")).groupBy("bucket", "i", "key").agg(F.count(F.lit(1)).alias("n"))
-    modes = counts.groupBy("bucket", "i").agg(F.max_by("key", F.struct("n", "key")).alias("key"))
-    modes = modes.groupBy("bucket").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "key"))), lambda x: x["key"]).alias("modes"))
+    modes = counts.groupBy("bucket", "i").agg(F.max_by("key", F.struct("n", "key")).alias("key"), F.sum("n").alias("size"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("i", "key"))), lambda x: x["key"])
+    modes = modes.groupBy("bucket").agg(listed.alias("modes"), F.max("size").alias("size"))
+    modes = modes.select("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), parts("size") - 1)).alias("part"), "modes")
     agree = F.zip_with("bands", "modes", lambda x, y: (x == y).cast("int"))
-    scored = keyed.join(stage(modes, "modes"), "bucket").withColumn("agree", F.aggregate(agree, F.lit(0), lambda x, y: x + y))
+    scored = keyed.join(stage(modes, "modes"), ["bucket", "part"]).withColumn("agree", F.aggregate(agree, F.lit(0), lambda x, y: x + y))
     centre = F.max_by(F.struct("node", "component"), F.struct("agree", -F.col("node")))
     centres = stage(scored.groupBy("bucket").agg(centre.alias("centre")), "centres")
     apart = members.join(centres, "bucket").where("component <> centre.component")
@@ -390,11 +399,13 @@ def _typical(members: DataFrame, bands: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(bucket, node, component): the members of buckets that hold several components."""
+    """(bucket, node, component, size): the members of buckets that hold several components, and how many they are."""
     named = members.select("bucket", "node").join(found, "node", "left")
     named = stage(named.select("bucket", "node", F.coalesce("component", "node").alias("component")), "spokes")
-    mixed = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return stage(named.join(stage(mixed.where("least < most").select("bucket"), "open"), "bucket"), "open")
+    mixed = named.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("size")
+    )
+    return stage(named.join(stage(mixed.where("least < most").select("bucket", "size"), "open"), "bucket"), "open")
 
 
 def links(members: DataFrame, bands: DataFrame, texts: DataFrame, weights: Weights, given: DataFrame) -> DataFrame:

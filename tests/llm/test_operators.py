@@ -336,7 +336,7 @@ def test_typical_member_is_the_text_copied(spark):
     rows = stage(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
     weights = minhash.Weights(np.zeros(0, int), np.zeros(0, int), 1)
     bands = stage(minhash.signatures(rows, weights).selectExpr("doc_id AS node", "bands"))
-    members = stage(bands.selectExpr("7L AS bucket", "node", "node AS component"))
+    members = stage(bands.selectExpr("7L AS bucket", "node", "node AS component", "401L AS size"))
     assert {tuple(r) for r in minhash._typical(members, bands).collect()} == {(500, i) for i in range(400)}
 
 
