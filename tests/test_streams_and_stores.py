@@ -171,3 +171,25 @@ def test_writers_that_meet_both_commit(spark, tmp_path):
     late = Slow(spark, str(tmp_path / "store")).append(spark.range(4))
     assert taken == [1] and calls[0].number == 2 and late.number == 3
     assert store.read().count() == 1 + 2 + 4
+
+
+def test_late_prices_arrive_in_parts(spark, sf_dir, monkeypatch):
+    """Parts in order of time give the rows of one arrival, and no part holds the table."""
+    from gablework.plans import model_queries as queries
+
+    runs, once = [], queries.stream.run_once
+    monkeypatch.setattr(queries.stream, "run_once", lambda out, path, state, *more: (runs.append(path), once(out, path, state, *more)))
+    wanted = sorted(queries._late_prices(spark, sf_dir).collect())
+    assert len(runs) == 1
+    got = sorted(queries._late_prices(spark, sf_dir, 4000).collect())
+    assert len(runs) == 3 and len(got) == len(wanted) > 0
+    for a, b in zip(got, wanted):
+        assert (a.window_start, a.n) == (b.window_start, b.n) and (a.r2, a.rmse) == pytest.approx((b.r2, b.rmse))
+
+
+def test_arrivals_are_parted_by_time(spark):
+    from gablework.plans import model_queries as queries
+
+    rows = spark.sql("SELECT id, timestamp_seconds(id * 3600) AS at FROM range(0, 100) UNION ALL SELECT 100, NULL")
+    parts = queries._arrivals(rows, "at", [1, 3], "parts")
+    assert [sorted(r["id"] for r in p.collect()) for p in parts] == [[*range(24), 100], [*range(24, 72)], [*range(72, 100)]]
