@@ -180,3 +180,56 @@ def test_deep_forest_has_its_votes_from_the_table(spark, parts):
         mean = sum(v) / len(v)
         assert r["n_trees"] == 8 and r["tree_mean"] == pytest.approx(mean)
         assert r["tree_std"] == pytest.approx((sum((x - mean) ** 2 for x in v) / len(v)) ** 0.5, abs=1e-6)
+
+
+def test_nested_search_of_forests_counts_rows_once(parts, monkeypatch):
+    """All cells of a forest are fitted on one table of binned rows; the rows themselves are fitted once, by the best."""
+    fit = parts[0].where(L.below_share(F.md5("listing_id"), 0.3))
+    made, make = [], T.make_estimator
+    monkeypatch.setattr(T, "make_estimator", lambda *a, **k: (made.append(k), make(*a, **k))[1])
+    candidates = [{"n_estimators": n, "max_depth": d, "min_samples_leaf": 2} for n in (2, 4) for d in (2, 5)]
+    found = T.search_nested(fit, "random_forest", candidates, folds=2)
+    assert made == [found.best]
+    rows = {r["candidate"]: r for r in found.table.collect()}
+    assert {r["scored_rows"] for r in rows.values()} == {fit.count()}
+    plain = {r["candidate"]: r["cv_rmse"] for r in T.search(fit, "random_forest", candidates, folds=2).table.collect()}
+    # Not the same draws, but forests of the same kind.
+    for i, r in rows.items():
+        assert r["cv_rmse"] == pytest.approx(plain[i], rel=0.15)
+    assert rows[1]["cv_rmse"] < rows[0]["cv_rmse"]
+
+
+def test_binned_tree_equals_spark_on_rows(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from gablework.operators import binned
+
+    rows = spark.range(4000).selectExpr("id", "0 AS part", "double(id % 7) AS a", "double(id * 31 % 11 * 5 % 11) AS b", "double(id * 17 % 23) AS c")
+    rows = rows.withColumn("y", F.abs(F.col("a") - 3) * 9 + F.col("b") * F.col("c") + F.pmod(F.xxhash64("id"), F.lit(5)))
+    rows = rows.withColumn("b", F.col("b").alias("b", metadata={"ml_attr": {"type": "nominal", "vals": [str(i) for i in range(11)], "name": "b"}}))
+    table = binned.binned(rows, ["a", "b", "c"], "y", "id", 2, 1, "part")
+    sums = table.agg(F.sum("n").alias("n"), F.sum("sum").alias("y"), F.count(F.lit(1)).alias("groups")).first()
+    assert (sums["n"], sums["y"]) == (4000, rows.agg(F.sum("y")).first()[0]) and sums["groups"] == 7 * 11 * 23
+    # With bags of every row once, the tree and its error are those of Spark's tree on the rows.
+    once = table.withColumns({"w": F.array(F.col("n").cast("double")), "s": F.array("sum")})
+    for depth, least in ((4, 1), (6, 40), (3, 2001)):
+        tree = binned.fit_tree(once, 0, 4000.0, depth, least, "all", 42)
+        got = binned.prefix_errors([tree], once, [1]).first()
+        vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+        own = DecisionTreeRegressor(labelCol="y", maxDepth=depth, minInstancesPerNode=least).fit(vectors)
+        wanted = own.transform(vectors).agg(F.avg((F.col("prediction") - F.col("y")) ** 2)).first()[0]
+        assert got["n"] == 4000 and got["mse_1"] == pytest.approx(wanted)
+        assert tree.trees[0].numNodes == own.numNodes
+
+
+def test_bags_and_bins(spark):
+    from gablework.operators import binned
+
+    drawn = spark.range(20000).select(*[c.alias(f"w{t}") for t, c in enumerate(binned.bag_counts("id", 42, 2))])
+    got = drawn.agg(F.avg("w0"), F.var_pop("w0"), F.avg((F.col("w0") == 0).cast("int")), F.corr("w0", "w1")).first()
+    assert got[0] == pytest.approx(1, abs=0.03) and got[1] == pytest.approx(1, abs=0.05)
+    assert got[2] == pytest.approx(0.3679, abs=0.015) and abs(got[3]) < 0.03
+    rows = spark.range(10000).selectExpr("double(id) AS many", "double(id % 3) AS few", "1 AS one")
+    cuts = binned.cut_points(rows, ["many", "few", "one"])
+    assert len(cuts["many"]) == 31 and cuts["few"] == [0.5, 1.5] and cuts["one"] == []
