@@ -8,6 +8,7 @@ The models reach the workers as arrays of sorted hashes.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,9 +28,11 @@ from gablework.session import stage
 ORDER = 4
 #: Bits of a hash: at most so many cells for each order of all languages' runs, and of their contexts.
 BITS = 22
-#: One of so many texts to learn from is kept for calibration, of languages with that many texts
-#: at least; and the texts that calibration takes at most.
-KEPT, CALIBRATION = 16, 4000
+#: One of so many texts to learn from is kept for calibration, of languages with four times that many
+#: texts at least; its runs are counted in the final models all the same.
+KEPT = 16
+#: Relative accuracy of the quantiles of calibration is one part in so many.
+ACCURACY = 100_000
 #: Share of a language's own texts that may be rejected.
 REJECTED = 0.002
 #: Runs whose scores a worker remembers.
@@ -235,43 +238,38 @@ class Scorer:
         return n, sums / np.maximum(n, 1)[:, None]
 
 
-def _calibrated(models: Models, known: np.ndarray, n: np.ndarray, entropy: np.ndarray) -> None:
-    """Set temperature and limits from kept texts: the true language's index, characters, bits a character."""
+def _calibrated(models: Models, seen: DataFrame) -> None:
+    """Set temperature and limits from all kept texts' (lang, n, entropy) under models that did not see them."""
     size = len(models.languages)
     models.usual, models.spread, models.limit = np.zeros(size), np.ones(size), np.full(size, np.inf)
-    some = n > 0
-    known, n, entropy = known[some], n[some], entropy[some]
-    if not len(n):
-        return
-    excess = (entropy - entropy.min(axis=1, keepdims=True)) * n[:, None] * np.log(2)
-    losses = {}
-    for t in 2.0 ** -np.arange(0, 15):
-        p = np.exp(-t * excess)
-        losses[float(t)] = -np.log(np.maximum((p / p.sum(axis=1, keepdims=True))[np.arange(len(n)), known], 1e-12)).mean()
-    models.temperature = min(losses, key=losses.get)
-    for lang in range(size):
-        own = known == lang
-        if not own.any():
-            continue
-        bits, chars = entropy[own, lang], n[own]
-        models.usual[lang] = np.median(bits)
-        away = (bits - models.usual[lang]) * np.sqrt(chars)
-        models.spread[lang] = max(1e-6, np.median(np.abs(away)) * 1.4826)
-        models.limit[lang] = max(6.0, np.quantile(away / models.spread[lang], 1 - REJECTED))
+    names = F.array(*[F.lit(x) for x in models.languages])
+    texts = seen.where((F.col("n") > 0) & F.array_contains(names, F.col("lang"))).select(
+        "n", "entropy", F.array_position(names, F.col("lang")).cast("int").alias("own")
+    )
+    texts = texts.withColumn("bits", F.element_at("entropy", F.col("own")))
+    steps = [2.0**-k for k in range(15)]
 
+    def loss(t: float) -> Column:
+        shared = F.aggregate("entropy", F.lit(0.0), lambda total, e: total + F.exp((F.col("bits") - e) * F.col("n") * (t * math.log(2))))
+        # The true language's chance is one part of this sum; an endless sum is a chance of nothing.
+        return F.avg(F.least(F.log(shared), F.lit(-math.log(1e-12)))).alias(f"loss_{t}")
 
-def fit(docs: DataFrame, usable: Column, text: str = "text", bits: int = BITS) -> Models | None:
-    """Models of every language named in usable rows, from all their texts; None without any run.
-
-    Runs and statistics come from every usable row but a sixteenth part of each larger language,
-    which is kept for calibration and of which at most ``CALIBRATION`` texts are used.
-    """
-    rows = docs.where(usable & F.col("lang").isNotNull() & F.col(text).isNotNull()).select("doc_id", "lang", F.col(text).alias("text"))
-    # One row per language.
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    large = [lang for lang, size in sizes.items() if size >= 4 * KEPT]
-    kept = F.col("lang").isin(large) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(KEPT)) == 0)
-    counts = stage(counted(rows.where(~kept)), "run-counts")
+    losses = texts.agg(*[loss(t) for t in steps]).first()
+    if losses[0] is None:
+        return
+    models.temperature = steps[min(range(len(steps)), key=lambda k: losses[k])]
+    # One row per language, from here on.
+    usual = texts.groupBy("own").agg(F.percentile_approx("bits", 0.5, ACCURACY).alias("usual"))
+    away = texts.join(F.broadcast(usual), "own").withColumn("away", (F.col("bits") - F.col("usual")) * F.sqrt("n"))
+    shares = [F.percentile_approx(F.abs("away"), 0.5, ACCURACY).alias("spread"), F.percentile_approx("away", 1 - REJECTED, ACCURACY).alias("far")]
+    for row in away.groupBy("own", "usual").agg(*shares).collect():
+        lang = row["own"] - 1
+        models.usual[lang], models.spread[lang] = row["usual"], max(1e-6, row["spread"] * 1.4826)
+        models.limit[lang] = max(6.0, row["far"] / models.spread[lang])
+
+
+def _models(counts: DataFrame, bits: int) -> Models | None:
+    """Models, not calibrated, of the languages in staged (lang, key, n); None without any run."""
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
@@ -295,13 +293,37 @@ def fit(docs: DataFrame, usable: Column, text: str = "text", bits: int = BITS) -
         own = np.flatnonzero(code == c)
         own = own[np.argsort(cell[own])]
         models.hashes[c], models.values[c] = cell[own].astype(np.uint64), value[own]
-    sample = rows.where(kept).orderBy(F.xxhash64("doc_id", "text")).limit(CALIBRATION)
-    seen = entropies(stage(sample, "calibration"), models, "lang").toPandas()
-    seen = seen[seen["lang"].isin(languages)]
-    if len(seen):
-        _calibrated(models, seen["lang"].map(index).to_numpy(), seen["n"].to_numpy(), np.stack(seen["entropy"].to_numpy()))
-    else:
-        _calibrated(models, *(np.zeros(0, dtype=np.int64),) * 2, np.zeros((0, len(languages))))
+    return models
+
+
+def fit(docs: DataFrame, usable: Column, text: str = "text", bits: int = BITS) -> Models | None:
+    """Models of every language named in usable rows, from all their texts; None without any run.
+
+    Runs and statistics come from every usable row.  A sixteenth part of each larger language is
+    first kept aside: models without it are calibrated on all of its texts, then its runs are added.
+    """
+    rows = docs.where(usable & F.col("lang").isNotNull() & F.col(text).isNotNull()).select("doc_id", "lang", F.col(text).alias("text"))
+    # One row per language.
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    large = [lang for lang, size in sizes.items() if size >= 4 * KEPT]
+    kept = F.col("lang").isin(large) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(KEPT)) == 0)
+    counts = stage(counted(rows.where(~kept)), "run-counts")
+    first = _models(counts, bits)
+    if not large:
+        if first is not None:
+            _calibrated(first, rows.sparkSession.createDataFrame([], "lang string, n bigint, entropy array<double>"))
+        return first
+    held = stage(rows.where(kept), "calibration")
+    if first is not None:
+        _calibrated(first, stage(entropies(held, first, "lang"), "entropies"))
+    both = counts.unionByName(counted(held)).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    models = _models(stage(both, "run-counts"), bits)
+    if models is not None:
+        # A language whose texts were all kept aside is learned without limits.
+        old = [first.languages.index(x) if first is not None and x in first.languages else None for x in models.languages]
+        models.temperature = first.temperature if first is not None else 1.0
+        for name, otherwise in (("usual", 0.0), ("spread", 1.0), ("limit", np.inf)):
+            setattr(models, name, np.array([otherwise if i is None else getattr(first, name)[i] for i in old]))
     return models
 
 

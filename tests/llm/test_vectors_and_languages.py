@@ -278,6 +278,32 @@ def test_languages_are_told_apart(spark):
     assert sorted(map(key, lm.report(turned).collect())) == sorted(map(key, got))
 
 
+def test_calibration_reads_all_kept_texts_and_counts_them(spark, monkeypatch):
+    """No text of the usable ones is left out of the counts, and calibration has no bound."""
+    prepared(spark)
+    docs = spark.createDataFrame(learned(600), "doc_id long, lang string, text string").repartition(3)
+    kept = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(lm.KEPT)) == 0).count()
+    tables, seen, models, calibrated = [], [], lm._models, lm._calibrated
+    monkeypatch.setattr(lm, "_models", lambda counts, bits: (tables.append(counts), models(counts, bits))[1])
+    monkeypatch.setattr(lm, "_calibrated", lambda m, texts: (seen.append(texts.toPandas()), calibrated(m, texts))[1])
+    fitted = lm.fit(docs, F.lit(True))
+    assert kept > 10 and len(seen[0]) == kept
+    whole = {(r["lang"], r["key"]): r["n"] for r in lm.counted(docs).collect()}
+    assert {(r["lang"], r["key"]): r["n"] for r in tables[-1].collect()} == whole
+    # Temperature and usual cost against numpy on the same texts.
+    known = seen[0]["lang"].map(fitted.languages.index).to_numpy()
+    n, entropy = seen[0]["n"].to_numpy(), np.stack(seen[0]["entropy"].to_numpy())
+    excess = (entropy - entropy.min(axis=1, keepdims=True)) * n[:, None] * np.log(2)
+    losses = {}
+    for t in 2.0 ** -np.arange(0, 15):
+        p = np.exp(-t * excess)
+        losses[float(t)] = -np.log(np.maximum((p / p.sum(axis=1, keepdims=True))[np.arange(len(n)), known], 1e-12)).mean()
+    assert losses[fitted.temperature] == pytest.approx(min(losses.values()))
+    for lang in range(3):
+        bits = np.sort(entropy[known == lang, lang])
+        assert bits[(len(bits) - 1) // 2] <= fitted.usual[lang] <= bits[len(bits) // 2] and np.isfinite(fitted.limit[lang])
+
+
 def test_nothing_to_learn_from(spark):
     prepared(spark)
     schema = "doc_id long, text string, lang string"
