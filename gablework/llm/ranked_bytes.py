@@ -23,19 +23,24 @@ MOST_IDS = 1 << 20
 
 
 def frequency_ranks(encoded: DataFrame) -> np.ndarray:
-    """Ids in order of falling count over all rows, ties by id; ids that never occur are left out."""
+    """Ids in order of falling count over all rows, ties by id; ids that never occur are left out.
+
+    ``counts`` of ``encoded`` holds them for each group of texts, so the ids themselves are not read.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u4"))
-            if len(found) > len(counts):
-                counts = np.pad(counts, (0, len(found) - len(counts)))
-            counts[: len(found)] += found
+            for pairs in batch.column(0).to_pylist():
+                ids, found = np.frombuffer(pairs, dtype="<i8").reshape(-1, 2).T
+                if int(ids[-1]) >= len(counts):
+                    counts = np.pad(counts, (0, int(ids[-1]) + 1 - len(counts)))
+                counts[ids] += found
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts[ids], pa.int64())], names=["id", "n"])
 
-    counted = encoded.select("ids").mapInArrow(task, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    groups = encoded.select("counts").where("counts IS NOT NULL")
+    counted = groups.mapInArrow(task, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     rows = counted.limit(MOST_IDS + 1).toPandas()
     if len(rows) > MOST_IDS:
         raise ValueError(f"more than {MOST_IDS} distinct ids")
@@ -91,7 +96,7 @@ def write(docs: DataFrame, path: str, vocab_path: str, end_id: int, text: str =
     An empty table gives a file set without rows.
     """
     spark = docs.sparkSession
-    encoded = staged_small(tokens.encode(docs, vocab_path, end_id, text), "ids")
+    encoded = staged_small(tokens.encode(docs, vocab_path, end_id, text, counts=True), "ids")
     id_of = frequency_ranks(encoded)
     spark.createDataFrame(
         [(i, int(x)) for i, x in enumerate(id_of)], "rank bigint, id bigint"

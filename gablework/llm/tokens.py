@@ -84,9 +84,12 @@ class WordEncoder:
         return ids, np.diff(before_and_total(counts)[first])
 
 
-def encode(docs: DataFrame, vocab_path: str, end_id: int, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocab_path: str, end_id: int, text: str = "text", counts: bool = False) -> DataFrame:
     """(doc_id, n, ids): ids as little-endian unsigned 32-bit numbers, ``end_id`` last.
 
+    With ``counts`` a fourth column: in one row of each group of texts that were encoded
+    together how often each id occurs in them (an id and its count, as 64-bit numbers), else null.
+
     One row per input row, in no special order.  A null or empty text has the
     end id alone.  Rows never move; a worker holds some 4 MB of text, or one
     longer text, with its ids, and a bounded memory of words.
@@ -96,14 +99,21 @@ def encode(docs: DataFrame, vocab_path: str, end_id: int, text: str = "text") ->
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, 1):
             encoder = held(f"words {vocab_path}", lambda: WordEncoder(vocab_path))
-            found, counts = encoder(batch.column(1))
-            ids = np.full(len(found) + len(counts), end_id, dtype="<u4")
-            ids[np.arange(len(found)) + np.repeat(np.arange(len(counts)), counts)] = found
-            n = counts + 1
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), binaries(ids, before_and_total(n))], names=["doc_id", "n", "ids"])
+            found, lengths = encoder(batch.column(1))
+            ids = np.full(len(found) + len(lengths), end_id, dtype="<u4")
+            ids[np.arange(len(found)) + np.repeat(np.arange(len(lengths)), lengths)] = found
+            n = lengths + 1
+            columns = {"doc_id": batch.column(0), "n": pa.array(n), "ids": binaries(ids, before_and_total(n))}
+            if counts and len(n):
+                often = np.bincount(ids)
+                met = np.flatnonzero(often)
+                columns["counts"] = pa.array([np.stack([met, often[met]], axis=1).astype("<i8").tobytes(), *[None] * (len(n) - 1)], pa.binary())
+            elif counts:
+                columns["counts"] = pa.array([], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     rows = docs.select("doc_id", text_or_empty(text).alias("text"))
-    return rows.mapInArrow(task, f"doc_id {kind}, n bigint, ids binary")
+    return rows.mapInArrow(task, f"doc_id {kind}, n bigint, ids binary" + (", counts binary" if counts else ""))
 
 
 def with_crc(ids: str = "ids"):

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gablework.llm import chat, factors, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes, toxicity
+from gablework.llm import chat, factors, graphs, line_dedup, minhash, packing, pieces, quality_rules, ranked_bytes, tokens, toxicity
 from gablework.llm.common import components, prepared, vocabulary
 from gablework.session import stage
 
@@ -101,6 +101,18 @@ def test_token_files_round_trip(docs, nothing):
     assert ranked_bytes.report(nothing, WORDS).count() == 0
 
 
+def test_ranks_come_from_counts_made_while_encoding(spark):
+    """The counts of the groups of texts are those of all ids, and are all that the ranks read."""
+    prepared(spark)
+    texts = [None, "", "a b a", "the house, the cat. The end", "ünï 😀 the"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    encoded = tokens.encode(docs, WORDS, 2, counts=True).persist()
+    ids, often = np.unique(np.frombuffer(b"".join(r["ids"] for r in encoded.collect()), dtype="<u4"), return_counts=True)
+    ranks = ranked_bytes.frequency_ranks(encoded.select("counts"))
+    assert ranks.tolist() == ids[np.lexsort((ids, -often))].tolist()
+    encoded.unpersist()
+
+
 def test_coded_numbers_of_every_width():
     numbers = np.array([0, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 5], dtype="<u4")
     some = [numbers.tobytes(), b"", numbers[:5].tobytes()]
