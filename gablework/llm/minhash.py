@@ -372,6 +372,28 @@ def candidates(texts: DataFrame, weights: Weights) -> DataFrame:
     return joined.select(F.greatest("node_0", "node_1").alias("a"), F.least("node_0", "node_1").alias("b")).distinct()
 
 
+def _key_counts(members: DataFrame) -> DataFrame:
+    """(bucket, i, key, n): how many members in a batch of (bucket, bands) have a key in place i; add up the batches' rows."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            key = batch.column(1).flatten().to_numpy()
+            if not len(key):
+                continue
+            bucket = np.repeat(batch.column(0).to_numpy(), sizes)
+            place = np.arange(len(key)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            order = np.lexsort((key, place, bucket))
+            bucket, place, key = bucket[order], place[order], key[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (place[1:] != place[:-1]) | (key[1:] != key[:-1])
+            at = np.flatnonzero(new)
+            columns = [bucket[at], place[at].astype(np.int32), key[at], np.diff(np.append(at, len(key)))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "i", "key", "n"])
+
+    return members.select("bucket", "bands").mapInArrow(task, "bucket bigint, i int, key bigint, n bigint")
+
+
 def _typical(members: DataFrame, bands: DataFrame) -> DataFrame:
     """Pairs (a, b) of each bucket's most typical member and those of its members that are not connected to it.
 
@@ -384,8 +406,10 @@ def _typical(members: DataFrame, bands: DataFrame) -> DataFrame:
     def parts(size: str) -> Column:
         return F.ceil(F.col(size) / SPREAD)
 
-    keyed = stage(members.join(bands, "node").withColumn("part", F.pmod(F.xxhash64("node"), parts("size"))), "members")
-    counts = keyed.select("bucket", F.posexplode("bands").alias("i", "key")).groupBy("bucket", "i", "key").agg(F.count(F.lit(1)).alias("n"))
+    # Written part by part, so that a task counts equal keys of a part where it reads them.
+    parted = members.join(bands, "node").withColumn("part", F.pmod(F.xxhash64("node"), parts("size")))
+    keyed = stage(parted.repartition("bucket", "part"), "members")
+    counts = _key_counts(keyed).groupBy("bucket", "i", "key").agg(F.sum("n").alias("n"))
     modes = counts.groupBy("bucket", "i").agg(F.max_by("key", F.struct("n", "key")).alias("key"), F.sum("n").alias("size"))
     listed = F.transform(F.sort_array(F.collect_list(F.struct("i", "key"))), lambda x: x["key"])
     modes = modes.groupBy("bucket").agg(listed.alias("modes"), F.max("size").alias("size"))

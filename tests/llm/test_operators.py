@@ -334,6 +334,16 @@ def test_unlike_texts_of_one_bucket_cost_no_pairs(spark):
     assert {(r["node"], r["component"]) for r in named.collect()} == {(20_000 + i, i) for i in range(50)}
 
 
+def test_keys_of_a_bucket_are_counted_before_they_become_rows(spark):
+    """Members with the same keys make one row per key and batch, not one each; an empty list counts nothing."""
+    rows = [(1, [5, 6])] * 300 + [(1, [5, 7])] * 100 + [(2, [6, 5]), (3, [])]
+    members = spark.createDataFrame(rows, "bucket long, bands array<long>").repartition(2, "bucket")
+    found = minhash._key_counts(members)
+    assert found.count() <= 6
+    added = found.groupBy("bucket", "i", "key").sum("n").collect()
+    assert {tuple(r) for r in added} == {(1, 0, 5, 400), (1, 1, 6, 300), (1, 1, 7, 100), (2, 0, 6, 1), (2, 1, 5, 1)}
+
+
 def test_typical_member_is_the_text_copied(spark):
     """Copies that are linked to their base only, which is not the smallest node of their bucket."""
     prepared(spark)
