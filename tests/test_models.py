@@ -1,12 +1,15 @@
 import pytest
+from pyspark.ml import Pipeline, tuning
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from gablework.jobs.retrain import retrain
 from gablework.operators import evaluate as E
+from gablework.operators import forests
 from gablework.operators import robustness as B
 from gablework.operators import splits as L
 from gablework.operators import training as T
-from gablework.operators.features import NotFittedError
+from gablework.operators.features import NotFittedError, derive_features
 from gablework.plans.listings import listings
 from gablework.session import stage
 
@@ -233,3 +236,47 @@ def test_bags_and_bins(spark):
     rows = spark.range(10000).selectExpr("double(id) AS many", "double(id % 3) AS few", "1 AS one")
     cuts = binned.cut_points(rows, ["many", "few", "one"])
     assert len(cuts["many"]) == 31 and cuts["few"] == [0.5, 1.5] and cuts["one"] == []
+
+
+def test_kept_node_ids_change_no_tree(parts):
+    prepared = Pipeline(stages=T.preparation()).fit(derive_features(parts[0])).transform(derive_features(parts[0]))
+    kept = T.make_estimator("random_forest", n_estimators=4, max_depth=6)
+    assert kept.getCacheNodeIds()
+    walked = kept.copy({kept.cacheNodeIds: False})
+    trees = [e.fit(prepared).toDebugString.split("\n", 1)[1] for e in (kept, walked)]
+    assert trees[0] == trees[1]
+
+
+def test_search_copies_no_fold(parts, monkeypatch):
+    def refuse(_):
+        raise AssertionError("the rows of a fold were kept once more")
+
+    monkeypatch.setattr(type(parts[0]), "cache", refuse)
+    candidates = [{"n_estimators": 2, "max_depth": d} for d in (2, 4)]
+    found = T.search(parts[0], "random_forest", candidates, folds=2)
+    monkeypatch.undo()
+    prepared = Pipeline(stages=T.preparation()).fit(derive_features(parts[0])).transform(derive_features(parts[0]))
+    plain = T.make_estimator("random_forest", n_estimators=2)
+    errors = tuning.CrossValidator(
+        estimator=plain,
+        estimatorParamMaps=[{plain.maxDepth: d} for d in (2, 4)],
+        evaluator=RegressionEvaluator(labelCol="price", metricName="mse"),
+        numFolds=2,
+        foldCol="fold",
+    ).fit(L.with_fold(prepared, "listing_id", 2).select("features", "price", "fold")).avgMetrics
+    assert found.best_mse == pytest.approx(min(errors))
+    assert [r["cv_rmse"] ** 2 for r in found.table.orderBy("candidate").collect()] == pytest.approx(errors)
+    with pytest.raises(ValueError):
+        T.search(parts[0].limit(1), "random_forest", candidates, folds=2)
+
+
+def test_looked_up_votes_equal_joined_ones(forest, parts, monkeypatch):
+    columns = ["prediction", "n_trees", "tree_mean", "tree_std", "lower_bound", "upper_bound"]
+    few = parts[1].where("listing_id < '2'")
+    few = few.unionAll(few.limit(3))
+    looked_up = forest.score_with_interval(few)
+    monkeypatch.setattr(forests, "LOOKUP_BYTES", -1)
+    joined = forest.score_with_interval(few)
+    assert looked_up.columns == joined.columns
+    rows, others = (sorted(tuple(r) for r in df.select("listing_id", *columns).collect()) for df in (looked_up, joined))
+    assert len(rows) == len(others) and all(a[0] == b[0] and a[1:] == pytest.approx(b[1:], rel=1e-9) for a, b in zip(rows, others))
