@@ -1,3 +1,6 @@
+import hashlib
+import math
+
 import pytest
 from pyspark.ml import Pipeline, tuning
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -10,6 +13,7 @@ from gablework.operators import robustness as B
 from gablework.operators import splits as L
 from gablework.operators import training as T
 from gablework.operators.features import NotFittedError, derive_features
+from gablework.plans import model_queries as M
 from gablework.plans.listings import listings
 from gablework.session import stage
 
@@ -110,6 +114,46 @@ def test_noise_draws_look_normal(spark):
     assert abs(row["m"]) < 0.03 and abs(row["s"] - 1) < 0.03 and abs(row["c"]) < 0.03
 
 
+def test_noise_words_are_whole_numbers(spark):
+    df = spark.createDataFrame([(h,) for h in ("00000000", "7fffffff", "80000000", "ffffffff", "0000000f", None)], "h string")
+    got = [r["v"] for r in df.select(B.whole_number(F.col("h")).alias("v")).collect()]
+    assert got == [0.0, 2.0**31 - 1, 2.0**31, 2.0**32 - 1, 15.0, None]
+    # A draw by hand: the first two words of the digest.
+    one = B.add_digest_normals(spark.createDataFrame([("a",)], "k string"), "k", F.lit(50), 1)
+    digest = hashlib.md5(b"a|50|0").hexdigest()
+    u, v = ((int(digest[i : i + 8], 16) + 1.0) / (2**32 + 1) for i in (0, 8))
+    assert one.first()["_z0"] == pytest.approx(math.sqrt(-2 * math.log(u)) * math.cos(2 * math.pi * v), rel=1e-12)
+    noisy = B.add_digest_normals(spark.range(3).selectExpr("string(id) AS k"), "k", F.lit(50), 1)
+    plan = noisy._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("conv(") == plan.count("as bigint) as double)") > 0
+
+
+def test_categories_are_those_of_the_rows(tiny):
+    more = tiny.limit(2).withColumn("district", F.lit("\u00c9st")).unionAll(tiny.limit(2).withColumn("district", F.lit(None).cast("string")))
+    rows = tiny.unionAll(more)
+    model = T.train(rows, n_estimators=1, max_depth=1)
+    wanted = [r["district"] for r in rows.where("district IS NOT NULL").select("district").distinct().orderBy("district").collect()]
+    assert model.categories == wanted and model.categories[0] == rows.agg(F.min("district")).first()[0]
+
+
+def test_edge_query_makes_no_further_pass(spark, sf_dir, monkeypatch):
+    """Once the forest is fitted nothing more is asked of its rows."""
+    train = T.train
+
+    def refuse(*_):
+        raise AssertionError("the fitted rows were read once more")
+
+    def then_no_more(fit, **settings):
+        model = train(fit, **settings)
+        for action in ("first", "head", "take", "agg"):
+            monkeypatch.setattr(type(fit), action, refuse)
+        return model
+
+    monkeypatch.setattr(T, "train", then_no_more)
+    judged = M._model_edges(spark, sf_dir).collect()
+    assert len(judged) == 5 and all(r["prediction"] > 0 for r in judged)
+
+
 def test_retrain_job(spark, sf_dir, forest):
     model, metrics = retrain(listings(spark, sf_dir), "development", n_estimators=5, max_depth=7)
     row = metrics.first()
