@@ -324,3 +324,29 @@ def test_looked_up_votes_equal_joined_ones(forest, parts, monkeypatch):
     assert looked_up.columns == joined.columns
     rows, others = (sorted(tuple(r) for r in df.select("listing_id", *columns).collect()) for df in (looked_up, joined))
     assert len(rows) == len(others) and all(a[0] == b[0] and a[1:] == pytest.approx(b[1:], rel=1e-9) for a, b in zip(rows, others))
+
+
+def test_forests_grown_together_are_those_grown_alone(spark):
+    """Same bags, same trees: errors of all sizes, depths and leaves as from Spark's trees one by one."""
+    from gablework.operators import binned, grown
+
+    rows = spark.range(3000).selectExpr("id", "int(id * 13 % 3) AS fold", "double(id % 7) AS a", "double(id * 31 % 11 * 5 % 11) AS b", "double(id * 17 % 23) AS c")
+    rows = rows.withColumn("y", F.abs(F.col("a") - 3) * 9 + F.col("b") * F.col("c") + F.pmod(F.xxhash64("id"), F.lit(50)) + F.rand(3))
+    rows = rows.withColumn("b", F.col("b").alias("b", metadata={"ml_attr": {"type": "nominal", "vals": [str(i) for i in range(11)], "name": "b"}}))
+    table = binned.binned(rows, ["a", "b", "c"], "y", "id", 7, 1, "fold")
+    candidates = [(n, depth, least, "all") for n in (2, 7) for depth, least in ((2, 1), (9, 1), (5, 12))]
+    got = {(r["fold"], r["slot"]): r for r in grown.errors(table, candidates, [0, 2], 42, table.count()).collect()}
+    places = grown.slots(candidates)
+    assert set(got) == {(fold, slot) for fold in (0, 2) for slot in range(3)}
+    bags = binned.bag_sizes(table, 7, "fold")
+    for slot, (depth, least, look) in enumerate(places):
+        totals = [bags[1][t] + bags[2][t] for t in range(7)]
+        trees = [binned.fit_tree(table.where("fold <> 0"), t, total, depth, least, look, 42) for t, total in enumerate(totals)]
+        wanted = binned.prefix_errors(trees, table.where("fold = 0"), [2, 7]).first()
+        assert got[0, slot]["n"] == wanted["n"] == rows.where("fold = 0").count()
+        # Far down two features may gain the same, up to rounding.
+        near = 0.01 if depth == 9 else 1e-9
+        assert (got[0, slot]["mse_2"], got[0, slot]["mse_7"]) == pytest.approx((wanted["mse_2"], wanted["mse_7"]), rel=near)
+    # Some features a split: other trees, of the same use.
+    some = grown.errors(table, [(7, 9, 2, "sqrt"), (7, 9, 2, "log2")], [0, 1, 2], 42, table.count()).collect()
+    assert len(some) == 6 and all(0 < r["mse_7"] < 2 * got[0, 0]["mse_7"] for r in some)
