@@ -350,3 +350,19 @@ def test_forests_grown_together_are_those_grown_alone(spark):
     # Some features a split: other trees, of the same use.
     some = grown.errors(table, [(7, 9, 2, "sqrt"), (7, 9, 2, "log2")], [0, 1, 2], 42, table.count()).collect()
     assert len(some) == 6 and all(0 < r["mse_7"] < 2 * got[0, 0]["mse_7"] for r in some)
+
+
+def test_searches_run_their_whole_budget(spark, sf_dir, monkeypatch):
+    asked = []
+
+    def note(fit, algorithm, candidates=None, folds=5, validated=None):
+        asked.append((algorithm, list(candidates or T.grid(algorithm)), folds, validated))
+        raise KeyError("noted")
+
+    monkeypatch.setattr(T, "search_nested", note)
+    for query in (M._whole_grid, M._fifty_trials):
+        with pytest.raises(KeyError, match="noted"):
+            query(spark, sf_dir)
+    every = [("random_forest", T.grid("random_forest", T.FOREST_GRID), 5, None), ("random_forest", T.draw_trials("random_forest", 50), 5, None)]
+    assert asked == every and [len(a[1]) for a in asked] == [81, 50]
+    assert max(c["n_estimators"] for c in asked[0][1] + asked[1][1]) == 300
