@@ -193,3 +193,27 @@ def test_arrivals_are_parted_by_time(spark):
     rows = spark.sql("SELECT id, timestamp_seconds(id * 3600) AS at FROM range(0, 100) UNION ALL SELECT 100, NULL")
     parts = queries._arrivals(rows, "at", [1, 3], "parts")
     assert [sorted(r["id"] for r in p.collect()) for p in parts] == [[*range(24), 100], [*range(24, 72)], [*range(72, 100)]]
+
+
+def test_late_prices_keep_little(spark, sf_dir, tmp_path, monkeypatch):
+    """Rows are written once beside what is arriving; what was read goes, and old state is not asked for."""
+    from gablework.plans import model_queries as queries
+
+    kept, asked, once = [], [], queries.stream.run_once
+
+    def run(out, path, state, *more):
+        asked.append({key: spark.conf.get(key) for key in queries.FEW_STATES})
+        once(out, path, state, *more)
+        kept.append({p.name.split("-")[0]: sum(spark.read.parquet(str(f)).count() for f in p.rglob("*.parquet")) for p in tmp_path.iterdir() if p.name.startswith("p")})
+
+    monkeypatch.setattr(queries.stream, "run_once", run)
+    monkeypatch.setattr(queries, "scratch_path", lambda _, label: str(tmp_path / label))
+    before = {key: spark.conf.get(key) for key in queries.FEW_STATES}
+    rows = queries.listings(spark, sf_dir).count()
+    queries._late_prices(spark, sf_dir, 1500)
+    assert len(kept) == -(-rows // 1500) >= 4
+    # The last part or two of a side may still lie there, not all that came.
+    assert all(n < 0.6 * rows for n in kept[-1].values()) and set(kept[-1]) == {"predictions", "prices"}
+    assert asked == [queries.FEW_STATES] * len(kept)
+    assert before == {key: spark.conf.get(key) for key in queries.FEW_STATES}
+    assert not (tmp_path / "said").exists() and not (tmp_path / "paid").exists()
